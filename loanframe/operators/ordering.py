@@ -255,31 +255,40 @@ def running_sums(
 # --------------------------------------------------------------------- seeded samples
 
 
-def take_by_quota(df: DataFrame, strata: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
-    """Per stratum the ``quota`` rows that come first in a seeded shuffle.
+def take_first(df: DataFrame, strata: list[str], quotas: DataFrame, bucket: str, order: list[str]) -> DataFrame:
+    """Per stratum the first ``quota`` rows in the order of ``order``.
 
-    ``quotas`` has one row per stratum (``strata``, ``quota``).  Rows are
-    counted per stratum and leading digits of their shuffle key.  Buckets wholly
-    inside the quota pass without a sort, the bucket on the edge is ranked: at
-    most 1/4096 of a stratum, however large the stratum is.
+    ``bucket`` must not decrease along that order, and ``quotas`` has one row
+    per stratum.  Rows are counted per stratum and bucket; buckets wholly
+    inside the quota pass without a sort and only the bucket on the edge of
+    each stratum is ranked.
     """
-    dealt = df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, 3))
-    counts = dealt.groupBy(strata, "__b").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy(strata).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = df.groupBy(*strata, bucket).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(*strata).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = (
-        counts.join(quotas.select(strata, "quota"), strata)
+        counts.join(quotas.select(*strata, "quota"), strata)
         .withColumn("upto", F.sum("n").over(upto))
         .withColumn("before", F.col("upto") - F.col("n"))
         .where(F.col("before") < F.col("quota"))
-        .groupBy(strata)
-        .agg(F.max("__b").alias("__edge"), F.max_by(F.col("quota") - F.col("before"), "__b").alias("__left"))
+        .groupBy(*strata)
+        .agg(F.max(bucket).alias("__edge"), F.max_by(F.col("quota") - F.col("before"), bucket).alias("__left"))
     )
-    marked = dealt.join(small_side(edges), strata)
-    inside = marked.where(F.col("__b") < F.col("__edge"))
-    rank = F.row_number().over(Window.partitionBy(strata, "__b").orderBy("__h", key))
-    on_edge = marked.where(F.col("__b") == F.col("__edge")).withColumn("__r", rank)
+    marked = df.join(small_side(edges), strata)
+    inside = marked.where(F.col(bucket) < F.col("__edge"))
+    rank = F.row_number().over(Window.partitionBy(*strata, bucket).orderBy(*order))
+    on_edge = marked.where(F.col(bucket) == F.col("__edge")).withColumn("__r", rank)
     on_edge = on_edge.where(F.col("__r") <= F.col("__left")).drop("__r")
-    return inside.unionByName(on_edge).drop("__h", "__b", "__edge", "__left")
+    return inside.unionByName(on_edge).drop("__edge", "__left")
+
+
+def take_by_quota(df: DataFrame, strata: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
+    """Per stratum the ``quota`` rows that come first in a seeded shuffle.
+
+    The bucket is the leading digits of the shuffle key, so the ranked bucket
+    holds about 1/4096 of a stratum, however large the stratum is.
+    """
+    dealt = df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, 3))
+    return take_first(dealt, [strata], quotas, "__b", ["__h", key]).drop("__h", "__b")
 
 
 def random_sample(df: DataFrame, limit: int | None, seed: int, key: str = "id") -> DataFrame:
