@@ -153,13 +153,15 @@ def rank_metrics(
     are summed in parallel.
     """
     curve = _curve(class_scores(df, y, probs, classes), ["label"], rows_per_range)
+    return curve.groupBy("label").agg(_auc().alias("auc"), _ks().alias("ks"))
+
+
+def _ks() -> Column:
     gap = F.try_divide("cum_pos", "all_pos") - F.try_divide(
         F.col("cum_n") - F.col("cum_pos"), F.col("all_n") - F.col("all_pos")
     )
     both = (F.max("all_pos") > 0) & (F.max("all_pos") < F.max("all_n"))
-    return curve.groupBy("label").agg(
-        _auc().alias("auc"), F.when(both, F.greatest(F.max(gap), F.lit(0.0))).alias("ks")
-    )
+    return F.when(both, F.greatest(F.max(gap), F.lit(0.0)))
 
 
 def pair_auc(
@@ -212,6 +214,41 @@ def pair_curves(
     )
 
 
+def _edge(share: float) -> Column:
+    """The score at which the top share of rows ends, with the counts there."""
+    top = F.greatest(F.floor(F.col("all_n") * F.lit(float(share))), F.lit(1))
+    before = F.col("cum_n") - F.col("n")
+    at_edge = (before < top) & (F.col("cum_n") >= top)
+    return F.max(F.when(at_edge, F.struct(
+        "score", "pos", "n", (F.col("cum_pos") - F.col("pos")).alias("pos_before"), (top - before).alias("quota"), "all_pos",
+    )))
+
+
+def _captured(df: DataFrame, y: str, probs: list[str], classes: list[int], key: str, edges: dict, rows_per_range: int) -> dict[int, int]:
+    """Rows of each class above the edge, plus those of the edge score that
+    come first by key."""
+    found, open_edges = {}, []
+    for label, e in edges.items():
+        if e["quota"] == e["n"] or e["pos"] in (0, e["n"]):
+            share = 0 if e["pos"] == 0 else e["quota"] if e["pos"] == e["n"] else e["pos"]
+            found[label] = e["pos_before"] + share
+        else:
+            open_edges.append((label, e["score"], e["quota"]))
+    if open_edges:
+        # one row per class
+        edge = df.sparkSession.createDataFrame(open_edges, "label int, edge_score double, quota bigint")
+        rows = class_scores(df, y, probs, classes, [key])
+        tied = rows.join(F.broadcast(edge.drop("quota")), "label").where(F.col("score") == F.col("edge_score"))
+        bounds = range_bounds(df, key, df.count(), rows_per_range)
+        taken = take_first(with_range(tied, key, bounds), ["label"], edge, "range_no", [key])
+        hits = {r["label"]: r["hits"] for r in taken.groupBy("label").agg(F.sum("hit").alias("hits")).collect()}
+        found.update({label: edges[label]["pos_before"] + hits.get(label, 0) for label, _, _ in open_edges})
+    return found
+
+
+CAPTURE_SCHEMA = "label int, n_class bigint, n_captured bigint, capture double"
+
+
 def bad_capture(
     df: DataFrame, y: str, probs: list[str], classes: list[int], key: str = "id",
     share: float = TOP_SHARE, rows_per_range: int = ROWS_PER_RANGE,
@@ -222,49 +259,59 @@ def bad_capture(
     running sums over distinct scores; only rows with exactly that score are
     looked at again, however many they are, by ranges of the key.
     """
-    rows = class_scores(df, y, probs, classes, [key])
-    curve = _curve(rows, ["label"], rows_per_range)
-    top = F.greatest(F.floor(F.col("all_n") * F.lit(float(share))), F.lit(1))
-    before = F.col("cum_n") - F.col("n")
-    edge = curve.where((before < top) & (F.col("cum_n") >= top)).select(
-        "label", F.col("score").alias("edge_score"), (F.col("cum_pos") - F.col("pos")).alias("pos_before"),
-        (top - before).alias("quota"), "all_pos",
-    )
-    tied = rows.join(F.broadcast(edge.select("label", "edge_score")), "label").where(F.col("score") == F.col("edge_score"))
-    bounds = range_bounds(df, key, df.count(), rows_per_range)
-    taken = take_first(with_range(tied, key, bounds), ["label"], edge, "range_no", [key])
-    hits = taken.groupBy("label").agg(F.sum("hit").alias("pos_tied"))
-    return edge.join(hits, "label", "left").select(
-        "label", F.col("all_pos").alias("n_class"),
-        (F.col("pos_before") + F.coalesce("pos_tied", F.lit(0))).cast("bigint").alias("n_captured"),
-    ).withColumn("capture", F.try_divide("n_captured", "n_class"))
+    curve = _curve(class_scores(df, y, probs, classes), ["label"], rows_per_range)
+    edges = {r["label"]: r["edge"] for r in curve.groupBy("label").agg(_edge(share).alias("edge")).collect()}
+    found = _captured(df, y, probs, classes, key, edges, rows_per_range)
+    rows = [
+        (label, e["all_pos"], found[label], found[label] / e["all_pos"] if e["all_pos"] else None)
+        for label, e in edges.items()
+    ]
+    return df.sparkSession.createDataFrame(rows, CAPTURE_SCHEMA)
+
+
+METRIC_SCHEMA = "model string, scope string, label int, metric string, value double"
 
 
 def diagnose(
     df: DataFrame, y: str, pred: str, probs: list[str], classes: list[int], key: str = "id",
     model: str = "model", rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """All classification metrics as (model, scope, label, metric, value) rows."""
-    report = class_report(confusion_counts(df, y, pred), classes=classes)
-    ranks = rank_metrics(df, y, probs, classes, rows_per_range)
-    capture = bad_capture(df, y, probs, classes, key, rows_per_range=rows_per_range)
-    per_class = _long(report, "label", ["precision", "recall", "f1", "support", "predicted"])
-    per_class = per_class.unionByName(_long(ranks, "label", ["auc", "ks"])).unionByName(_long(capture, "label", ["capture"]))
-    overall = report_summary(report)
-    names = [c for c in overall.columns if c != "n_rows"]
-    means = ranks.agg(F.avg("auc").alias("auc_mean"), F.avg("ks").alias("ks_mean"))
-    total = _long(overall, None, names).unionByName(_long(means, None, means.columns))
-    total = total.unionByName(_long(capture.agg(F.avg("capture").alias("capture_mean")), None, ["capture_mean"]))
-    pairs = ovo_auc(df, y, probs, classes, rows_per_range)
-    total = total.unionByName(_long(pairs, None, pairs.columns))
-    tagged = per_class.withColumn("scope", F.lit("class")).unionByName(total.withColumn("scope", F.lit("all")))
-    return tagged.select(F.lit(model).alias("model"), "scope", "label", "metric", "value")
-
-
-def _long(df: DataFrame, label: str | None, names: list[str]) -> DataFrame:
-    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names]))
-    of = F.col(label).cast("int") if label else F.lit(None).cast("int")
-    return df.select(of.alias("label"), rows.alias("m")).select("label", "m.metric", "m.value")
+    """All classification metrics as (model, scope, label, metric, value) rows.
+
+    The scored columns are kept while the metrics are computed, so that a model
+    runs once.  The result has a few dozen rows.
+    """
+    slim = df.select(quoted(key), quoted(y), quoted(pred), *[quoted(p) for p in probs]).persist()
+    report = class_report(confusion_counts(slim, y, pred), classes=classes)
+    curve = _curve(class_scores(slim, y, probs, classes), ["label"], rows_per_range)
+    ranks = curve.groupBy("label").agg(_auc().alias("auc"), _ks().alias("ks"), _edge(TOP_SHARE).alias("edge")).collect()
+    edges = {r["label"]: r["edge"] for r in ranks}
+    found = _captured(slim, y, probs, classes, key, edges, rows_per_range)
+    capture = [
+        {"label": c, "capture": found[c] / e["all_pos"] if e["all_pos"] else None} for c, e in edges.items()
+    ]
+    pairs = ovo_auc(slim, y, probs, classes, rows_per_range).first()
+    per_class, overall = report.collect(), report_summary(report).first()
+    slim.unpersist()
+
+    rows = []
+    for part, names in (
+        (per_class, ["precision", "recall", "f1", "support", "predicted"]), (ranks, ["auc", "ks"]), (capture, ["capture"]),
+    ):
+        rows += [(model, "class", r["label"], n, r[n]) for r in part for n in names]
+    rows += [(model, "all", None, n, v) for n, v in overall.asDict().items() if n != "n_rows"]
+    rows += [(model, "all", None, n, v) for n, v in pairs.asDict().items()]
+    for part, name in ((ranks, "auc"), (ranks, "ks"), (capture, "capture")):
+        known = [r[name] for r in part if r[name] is not None]
+        rows.append((model, "all", None, f"{name}_mean", sum(known) / len(known) if known else None))
+    tidy = [(m, s, lab, n, None if v is None else float(v)) for m, s, lab, n, v in rows]
+    return df.sparkSession.createDataFrame(tidy, METRIC_SCHEMA)
+
+
+def headline(metrics: DataFrame) -> dict[str, float | None]:
+    """The overall values of a metric table by name (a few dozen)."""
+    rows = metrics.where(F.col("scope") == "all").collect()
+    return {r["metric"]: r["value"] for r in rows}
 
 
 def align_probabilities(probs: Column, own: list[int], wanted: list[int]) -> Column:
