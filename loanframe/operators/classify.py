@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanframe.functions.fields import quoted
@@ -131,14 +131,15 @@ class RiskModel(Model):
                 getattr(stage, setter)(f"__{name}_{i}")
             staged = stage.transform(staged)
             made += [f"__{name}_{i}" for name in names]
-        if self.kind not in BOOSTED:
-            shares = vector_to_array("__probability_0")
-        elif len(self.classes) == 2:
-            shares = vector_to_array("__probability_0")
-        else:
-            ones = [vector_to_array(f"__probability_{i}")[1] for i in range(len(self.stages))]
-            shares = normalised(ones)
-        return staged.withColumn("__p", shares).drop(*made)
+        if self.kind not in BOOSTED or len(self.classes) == 2:
+            return staged.withColumn("__p", vector_to_array("__probability_0")).drop(*made)
+        # one column per step, so that no step is copied into the next
+        ones = [f"__one_{i}" for i in range(len(self.stages))]
+        staged = staged.withColumns({o: vector_to_array(f"__probability_{i}")[1] for i, o in enumerate(ones)})
+        total = sum((F.col(o) for o in ones[1:]), F.col(ones[0]))
+        staged = staged.withColumn("__total", F.greatest(total, F.lit(1e-12)))
+        shares = F.array(*[F.col(o) / F.col("__total") for o in ones])
+        return staged.withColumn("__p", shares).drop("__total", *ones, *made)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         scored = self._probabilities(assembled(df, self.features)).drop(VECTOR)
@@ -171,14 +172,6 @@ class RiskModel(Model):
         return cls(meta["kind"], meta["features"], meta["classes"], stages, meta["params"], weights)
 
 
-def normalised(values: list[Column]) -> Column:
-    """Values divided by their sum, which is taken as at least 1e-12."""
-    total = values[0]
-    for v in values[1:]:
-        total = total + v
-    return F.array(*[v / F.greatest(total, F.lit(1e-12)) for v in values])
-
-
 def probability_columns(df: DataFrame, classes: list[int], wanted: list[int], source: str = "probabilities") -> DataFrame:
     """Spreads the array into ``p<class>`` columns, zero for unknown classes."""
     return df.withColumns({
