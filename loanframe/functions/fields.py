@@ -101,12 +101,13 @@ def first_max_position(values: list[Column]) -> Column:
 
 
 def half_even(value: Column, digits: int) -> Column:
-    return F.bround(value, digits)
+    """Half-even rounding of the double itself: scale, round, scale back."""
+    return F.rint(value * 10.0 ** digits) / 10.0 ** digits if digits else F.rint(value)
 
 
 def month_gap(start: Column, end: Column) -> Column:
-    """Calendar months between two dates, ignoring the day."""
-    return (F.year(end) - F.year(start)) * 12 + (F.month(end) - F.month(start))
+    """Months between two month columns (first days, so a whole number)."""
+    return F.months_between(end, start, False).cast("int")
 
 
 def shuffle_key(key: Column, seed: int) -> Column:

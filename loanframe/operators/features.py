@@ -165,6 +165,8 @@ class LoanPreprocessor(Estimator):
         columns = [c for c in allowed_columns(df, self.excluded) if c != self.target]
         if self.target not in df.columns:
             raise ValueError(f"training rows need the target column {self.target}")
+        # several passes follow, each over the result of the one before
+        df = df.select(*[quoted(c) for c in columns], quoted(self.target)).persist()
         continuous, categorical = split_types(df, columns)
         low = is_low_cardinality(df, categorical, self.max_one_hot)
         high = [c for c in categorical if c not in low]
@@ -198,6 +200,7 @@ class LoanPreprocessor(Estimator):
             encodings = durable(encode_targets(filled, high, self.target, self.smoothing))
             sizes = encodings.groupBy("feature").count().collect()
             state["encoded_rows"] = {r["feature"]: r["count"] for r in sizes}
+        df.unpersist()
         return LoanPreprocessorModel(state, encodings)
 
 

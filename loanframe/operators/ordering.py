@@ -157,12 +157,14 @@ def exact_quantiles(
     columns: list[str],
     shares: list[float],
     max_values: int = 1_000_000,
+    min_rows: int = 1,
 ) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles of several columns.
 
     ``percentile`` keeps one counter per distinct value in one buffer, so it is
     used only for columns whose distinct count is bounded; the others are
-    narrowed down range by range.  A column without values gives ``None``.
+    narrowed down range by range.  A column with fewer than ``min_rows`` values
+    gives ``None``.
     """
     if not columns:
         return {}
@@ -174,7 +176,7 @@ def exact_quantiles(
     out: dict[str, list[float] | None] = {}
     narrow, wide = [], []
     for i, c in enumerate(columns):
-        if sizes[f"n{i}"] == 0:
+        if sizes[f"n{i}"] < min_rows:
             out[c] = None
         else:
             (narrow if sizes[f"d{i}"] <= max_values else wide).append((i, c))
@@ -255,40 +257,58 @@ def running_sums(
 # --------------------------------------------------------------------- seeded samples
 
 
-def take_first(df: DataFrame, strata: list[str], quotas: DataFrame, bucket: str, order: list[str]) -> DataFrame:
-    """Per stratum the first ``quota`` rows in the order of ``order``.
-
-    ``bucket`` must not decrease along that order, and ``quotas`` has one row
-    per stratum.  Rows are counted per stratum and bucket; buckets wholly
-    inside the quota pass without a sort and only the bucket on the edge of
-    each stratum is ranked.
-    """
+def quota_edges(df: DataFrame, strata: list[str], quotas: DataFrame, bucket: str) -> DataFrame:
+    """Per stratum the bucket in which its quota ends, and the rows to take there."""
     counts = df.groupBy(*strata, bucket).agg(F.count("*").alias("n"))
     upto = Window.partitionBy(*strata).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = (
+    return (
         counts.join(quotas.select(*strata, "quota"), strata)
         .withColumn("upto", F.sum("n").over(upto))
         .withColumn("before", F.col("upto") - F.col("n"))
         .where(F.col("before") < F.col("quota"))
         .groupBy(*strata)
-        .agg(F.max(bucket).alias("__edge"), F.max_by(F.col("quota") - F.col("before"), bucket).alias("__left"))
+        .agg(F.max(bucket).alias("edge"), F.max_by(F.col("quota") - F.col("before"), bucket).alias("edge_rows"))
     )
-    marked = df.join(small_side(edges), strata)
-    inside = marked.where(F.col(bucket) < F.col("__edge"))
+
+
+def rows_up_to_edge(df: DataFrame, strata: list[str], edges: DataFrame, bucket: str, order: list[str], always: Column | None = None) -> DataFrame:
+    """Rows in buckets before the edge of their stratum and the first rows at it.
+
+    Rows for which ``always`` holds are kept as well.  Only edge buckets are
+    ranked.
+    """
+    marked = df.join(small_side(edges), strata, "inner" if always is None else "left")
+    sampled = F.lit(True) if always is None else ~always
+    inside = F.col(bucket) < F.col("edge")
+    inside = marked.where(inside if always is None else always | inside)
+    at_edge = marked.where(sampled & (F.col(bucket) == F.col("edge")))
     rank = F.row_number().over(Window.partitionBy(*strata, bucket).orderBy(*order))
-    on_edge = marked.where(F.col(bucket) == F.col("__edge")).withColumn("__r", rank)
-    on_edge = on_edge.where(F.col("__r") <= F.col("__left")).drop("__r")
-    return inside.unionByName(on_edge).drop("__edge", "__left")
+    at_edge = at_edge.withColumn("__r", rank).where(F.col("__r") <= F.col("edge_rows")).drop("__r")
+    return inside.unionByName(at_edge).drop("edge", "edge_rows")
 
 
-def take_by_quota(df: DataFrame, strata: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
-    """Per stratum the ``quota`` rows that come first in a seeded shuffle.
+def take_first(df: DataFrame, strata: list[str], quotas: DataFrame, bucket: str, order: list[str]) -> DataFrame:
+    """Per stratum the first ``quota`` rows in the order of ``order``.
 
-    The bucket is the leading digits of the shuffle key, so the ranked bucket
-    holds about 1/4096 of a stratum, however large the stratum is.
+    ``bucket`` must not decrease along that order, and ``quotas`` has one row
+    per stratum.  Rows are counted per stratum and bucket; buckets wholly
+    inside the quota pass without a sort and only the bucket on the edge of
+    each stratum is ranked.
     """
-    dealt = df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, 3))
-    return take_first(dealt, [strata], quotas, "__b", ["__h", key]).drop("__h", "__b")
+    return rows_up_to_edge(df, strata, quota_edges(df, strata, quotas, bucket), bucket, order)
+
+
+def dealt(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Adds the shuffle key ``__h`` and its leading digits ``__b``.
+
+    As a bucket the digits hold about 1/4096 of a stratum, however large it is.
+    """
+    return df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, 3))
+
+
+def take_by_quota(df: DataFrame, strata: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
+    """Per stratum the ``quota`` rows that come first in a seeded shuffle."""
+    return take_first(dealt(df, key, seed), [strata], quotas, "__b", ["__h", key]).drop("__h", "__b")
 
 
 def random_sample(df: DataFrame, limit: int | None, seed: int, key: str = "id") -> DataFrame:

@@ -12,7 +12,9 @@ from loanframe.functions.fields import (
     any_of, is_missing, month, month_gap, num, opt_col, quoted, status, true_or_false, within,
 )
 from loanframe.operators.labels import RISK
-from loanframe.operators.ordering import exact_quantiles, take_by_quota
+from loanframe.operators.ordering import (
+    SMALL_TABLE, dealt, exact_quantiles, quota_edges, rows_up_to_edge,
+)
 
 CORE_FIELDS = ["annual_inc", "dti", "delinq_2yrs", "inq_last_6mths"]
 RULES = ["missing_core", "too_fresh", "too_few_payments", "unused_line", "odd_clean_debtor"]
@@ -64,10 +66,15 @@ def _normal_rules(df: DataFrame) -> list[Column]:
 def purify(df: DataFrame) -> DataFrame:
     """Rows no removal rule applies to.
 
-    The normal-loan predicate is written once: filters are pushed below the
-    projections they read, which copies an expression for every use of it.
+    Filters are pushed below the projections they read, which copies an
+    expression for every use of it.  So the normal-loan predicate is written
+    once, and the payments rule is left out: a loan has at least as many
+    payments as observed months, so whatever it removes is too fresh as well.
     """
-    return df.where(~(_core_missing(df) | (is_normal(df) & any_of(_normal_rules(df)))))
+    rules = _normal_rules(df)
+    if MIN_PAYMENTS <= MIN_MONTHS:
+        del rules[RULES.index("too_few_payments") - 1]
+    return df.where(~(_core_missing(df) | (is_normal(df) & any_of(rules))))
 
 
 def rule_counts(df: DataFrame) -> DataFrame:
@@ -118,16 +125,23 @@ def fifth_code(value: Column, edges: list[float] | None, prefix: str) -> Column:
     return code.otherwise(f"{prefix}_{len(distinct) - 2}")
 
 
+STRATA_FIELDS = {"annual_inc": "inc", "dti": "dti"}
+
+
+def strata_edges(normal: DataFrame) -> dict[str, list[float] | None]:
+    """Edges of the income and burden fifths; None with fewer than five values."""
+    numeric = normal.select(*[num(normal, c).alias(c) for c in STRATA_FIELDS])
+    return exact_quantiles(numeric, list(STRATA_FIELDS), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], min_rows=5)
+
+
+def strata_key(df: DataFrame, edges: dict) -> Column:
+    """grade | income fifth | burden fifth."""
+    codes = [fifth_code(num(df, c), edges.get(c), p) for c, p in STRATA_FIELDS.items()]
+    return F.concat_ws("|", F.coalesce(opt_col(df, "grade").cast("string"), F.lit("Unknown")), *codes)
+
+
 def with_strata(normal: DataFrame) -> DataFrame:
-    """Adds ``strata_key`` = grade | income fifth | burden fifth."""
-    fields = {"annual_inc": "inc", "dti": "dti"}
-    numeric = normal.select(*[num(normal, c).alias(c) for c in fields])
-    present = numeric.agg(*[F.count(c).alias(c) for c in fields]).first()
-    usable = [c for c in fields if present[c] >= 5]
-    edges = exact_quantiles(numeric, usable, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])
-    codes = [fifth_code(num(normal, c), edges.get(c), p) for c, p in fields.items()]
-    grade = F.coalesce(opt_col(normal, "grade").cast("string"), F.lit("Unknown"))
-    return normal.withColumn("strata_key", F.concat_ws("|", grade, *codes))
+    return normal.withColumn("strata_key", strata_key(normal, strata_edges(normal)))
 
 
 def quotas(sizes: DataFrame, target: int) -> DataFrame:
@@ -153,18 +167,33 @@ def strata_sizes(keyed: DataFrame) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, target_ratio: float = 4.0, seed: int = 42, key: str = "id") -> DataFrame:
-    """Keeps every risk row and at most ``target_ratio`` times as many normal rows."""
+    """Keeps every risk row and at most ``target_ratio`` times as many normal rows.
+
+    Fifths, strata sizes and quota edges come from the four columns they need,
+    kept for the time of the counting.  The rows themselves are then filtered
+    by a lookup of their stratum.
+    """
     if target_ratio <= 0:
         raise ValueError("target_ratio must be positive")
-    normal = is_normal(df)
-    sizes = df.agg(F.count_if(normal).alias("normal"), F.count_if(~normal).alias("risk")).first()
-    target = int(sizes["risk"] * target_ratio)
-    if sizes["normal"] == 0 or sizes["risk"] == 0 or sizes["normal"] <= target:
+    fields = [c for c in ("annual_inc", "dti", "grade") if c in df.columns]
+    narrow = df.select(quoted(key), *fields, is_normal(df).alias("__normal")).persist()
+    normal = narrow.where("__normal")
+    n_rows, n_normal = narrow.agg(F.count("*"), F.count_if("__normal")).first()
+    target = int((n_rows - n_normal) * target_ratio)
+    if n_normal == 0 or n_normal == n_rows or n_normal <= target:
+        narrow.unpersist()
         return df
-    keyed = with_strata(df.where(normal))
+    edges = strata_edges(normal)
+    keyed = dealt(normal.withColumn("strata_key", strata_key(normal, edges)), key, seed)
     share = quotas(strata_sizes(keyed), target)
-    kept = take_by_quota(keyed, "strata_key", share, key, seed).drop("strata_key")
-    return df.where(~normal).unionByName(kept)
+    last = quota_edges(keyed, ["strata_key"], share, "__b")
+    if target < SMALL_TABLE or last.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+        # one row per stratum
+        last = df.sparkSession.createDataFrame(last.collect(), last.schema)
+        narrow.unpersist()
+    marked = dealt(df.withColumns({"__normal": is_normal(df), "strata_key": strata_key(df, edges)}), key, seed)
+    kept = rows_up_to_edge(marked, ["strata_key"], last, "__b", ["__h", key], always=~F.col("__normal"))
+    return kept.drop("__normal", "strata_key", "__h", "__b").select(*df.columns)
 
 
 def purify_splits(split: DataFrame, target_ratio: float = 4.0, seed: int = 42) -> DataFrame:

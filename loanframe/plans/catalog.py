@@ -19,6 +19,7 @@ from loanframe.operators.tuning import tune_classifier, tune_regressor
 from loanframe.operators.two_stage import TwoStageClassifier, evaluate_stages
 from loanframe.operators.weighting import balanced_weight_table
 from loanframe.plans import experiments, prepare, scoring, training
+from loanframe.session import tuned
 from loanframe.sources import tables
 
 CLASSES = [0, 1, 2, 3]
@@ -32,7 +33,7 @@ SELECT = {"top_k": 20, "n_trees": 5, "max_depth": 4}
 
 
 def _loans(spark, folder):
-    return tables.loans(spark, folder)
+    return tables.loans(tuned(spark), folder)
 
 
 def _labelled(spark, folder):
@@ -44,7 +45,7 @@ def _split(spark, folder):
 
 
 def _scores(spark, folder):
-    return tables.loan_scores(spark, folder)
+    return tables.loan_scores(tuned(spark), folder)
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:

@@ -94,7 +94,7 @@ def _sql(body: str, *ctes: str, extra: dict[str, str] | None = None) -> str:
 
     for c in ctes:
         need(c)
-    parts = [f"{c} AS ({CTES[c]})" for c in ORDER if c in wanted]
+    parts = [f"{c} AS {'MATERIALIZED ' if c in ('rl', 'lb0', 'lb') else ''}({CTES[c]})" for c in ORDER if c in wanted]
     parts += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body
 
@@ -263,7 +263,7 @@ STRATA_CTES = {
     ) + " FROM norm",
     "keyed": "SELECT norm.*, concat(coalesce(grade, 'Unknown'), '|', " + ", '|', ".join(
         f"CASE WHEN {c} IS NULL OR len(e_{c}) < 2 THEN '{p}_unknown' ELSE concat('{p}_', "
-        f"greatest(len(list_filter(e_{c}, x -> x < {c})) - 1, 0)) END" for c, p in (("annual_inc", "inc"), ("dti", "dti"))
+        f"greatest(len([x for x in e_{c} if x < {c}]) - 1, 0)) END" for c, p in (("annual_inc", "inc"), ("dti", "dti"))
     ) + ") AS strata_key FROM norm, edges",
     "sizes": "SELECT strata_key, count(*) AS n FROM keyed GROUP BY strata_key",
     "alloc": "SELECT *, n / sum(n) OVER ()::DOUBLE * {target} AS exact FROM sizes",
