@@ -26,6 +26,8 @@ CLASSES = [0, 1, 2, 3]
 PROBS = ["p0", "p1", "p2", "p3"]
 THRESHOLD = 0.8
 NUMBERS = ["loan_amnt", "annual_inc", "dti", "delinq_amnt", "delinq_2yrs", "inq_last_6mths", "acc_now_delinq", "revol_util", "revol_bal"]
+# never interpolated in these tables, and full of ties at six digits
+EXACT = ["delinq_amnt"]
 SAMPLE_ROWS = 5_000
 # light settings for the fitted queries: they show the path, not model quality
 LIGHT = {"n_estimators": 3, "max_depth": 3}
@@ -254,7 +256,7 @@ def imputed_rows(spark, folder):
     split = _split(spark, folder)
     continuous, categorical, _, fills = _fill_state(_train_rows(split))
     filled = features.imputed(split, fills, continuous, categorical)
-    return _rounded(split.select("id", *[v.alias(c) for c, v in filled.items()]), 6, *continuous)
+    return _rounded(split.select("id", *[v.alias(c) for c, v in filled.items()]), 6, *[c for c in continuous if c not in EXACT])
 
 
 def _bounds(split):
@@ -274,8 +276,8 @@ def clipped_rows(spark, folder):
     split = _split(spark, folder)
     continuous, fills, bounds = _bounds(split)
     filled = features.imputed(split, fills, continuous, [])
-    clipped = [F.round(features.clamp(filled[c], *bounds[c]), 6).alias(c) for c in continuous]
-    return split.select("id", *clipped)
+    clipped = split.select("id", *[features.clamp(filled[c], *bounds[c]).alias(c) for c in continuous])
+    return _rounded(clipped, 6, *[c for c in continuous if c not in EXACT])
 
 
 def _preprocessed(spark, folder):

@@ -7,7 +7,7 @@ shortcuts: ranks are plain windows here, thresholds are evaluated one by one.
 from __future__ import annotations
 
 from loanframe.functions import vocab
-from loanframe.plans.catalog import NUMBERS, REPLY_SQL, SAMPLE_ROWS
+from loanframe.plans.catalog import EXACT, NUMBERS, REPLY_SQL, SAMPLE_ROWS
 from loanframe.sources.tables import LOAN_SCORES_SQL, LOANS_SQL
 
 NAMES = {"orders": "orders", "customer": "customer", "nation": "nation"}
@@ -369,9 +369,10 @@ def oracle_sql() -> dict[str, str]:
         [f"SELECT '{c}' AS feature, round(f_{c}, 6) AS fill_number, NULL::VARCHAR AS fill_text FROM fills" for c in NUMBERS]
         + [f"SELECT '{c}', NULL::DOUBLE, f_{c} FROM fills" for c in TEXTS]
     ), "fills")
-    q["imputed_rows"] = _features(f"SELECT id, {_round(NUMBERS, 6)}, {', '.join(TEXTS)} FROM imp", "imp")
+    values = f"{_round([c for c in NUMBERS if c not in EXACT], 6)}, {', '.join(EXACT)}"
+    q["imputed_rows"] = _features(f"SELECT id, {values}, {', '.join(TEXTS)} FROM imp", "imp")
     q["iqr_bounds"] = _features(_union([f"SELECT '{c}' AS feature, round(lo_{c}, 6) AS low, round(hi_{c}, 6) AS high FROM bounds" for c in NUMBERS]), "bounds")
-    q["clipped_rows"] = _features(f"SELECT id, {_round(NUMBERS, 6)} FROM clip", "clip")
+    q["clipped_rows"] = _features(f"SELECT id, {values} FROM clip", "clip")
     q["one_hot"] = _features("SELECT id, " + ", ".join(f'{e} AS "{n}"' for n, e in _one_hot_columns()) + " FROM imp", "imp")
     q["target_encoding"] = _features("SELECT feature, category, round(encoded, 9) AS encoded FROM enc", "enc")
     q["target_encoded_rows"] = _features("SELECT id, round(coalesce(encoded, (SELECT avg(preloan_risk_label) FROM train)), 9) AS encoded FROM imp LEFT JOIN enc ON addr_state = category", "enc")
