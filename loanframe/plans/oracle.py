@@ -267,8 +267,8 @@ STRATA_CTES = {
     ) + ") AS strata_key FROM norm, edges",
     "sizes": "SELECT strata_key, count(*) AS n FROM keyed GROUP BY strata_key",
     "alloc": "SELECT *, n / sum(n) OVER ()::DOUBLE * {target} AS exact FROM sizes",
-    "base": "SELECT *, floor(exact) AS b FROM alloc",
-    "quota": """SELECT strata_key, n, CAST(b + CASE WHEN row_number() OVER (ORDER BY exact - b DESC, strata_key) <= {target} - sum(b) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM base""",
+    "base": "SELECT *, least(floor(exact), n) AS b FROM alloc",
+    "quota": """SELECT strata_key, n, CAST(b + CASE WHEN b < n AND row_number() OVER (PARTITION BY b < n ORDER BY exact - b DESC, strata_key) <= {target} - sum(b) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM base""",
 }
 
 
