@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import exact_dedup, mixing
-from loanframe.llm.common import table
+from loanframe.llm import exact_dedup, mixing, packing, warc
+from loanframe.llm.common import new_folder, table
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,6 +29,11 @@ FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 """
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    found = packing.pack_documents(table(spark, folder, "documents"), vocabulary())
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return plan.select(
@@ -50,9 +61,27 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write(warc.records(table(spark, folder, "pages")), new_folder(spark, "warc"))
+    return warc.read(index, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first, sha1(h) AS s FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       translate(lpad(to_base(CAST('0x' || substr(s, 1, 10) AS BIGINT), 32), 8, '0') || lpad(to_base(CAST('0x' || substr(s, 11, 10) AS BIGINT), 32), 8, '0')
+              || lpad(to_base(CAST('0x' || substr(s, 21, 10) AS BIGINT), 32), 8, '0') || lpad(to_base(CAST('0x' || substr(s, 31, 10) AS BIGINT), 32), 8, '0'),
+              '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op9_mixing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op5_best_fit_packing, op9_mixing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL, "op10_warc": OP10_SQL}
