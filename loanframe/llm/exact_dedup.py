@@ -90,7 +90,7 @@ def equal_texts(docs: DataFrame, old: Column, digest_of: Callable[[str], Column]
     incoming = stored(by_digest(rows.filter("not old")))
     shared = screen(incoming, snapshot).join(snapshot.buckets.select("digest"), "digest", "left_semi").select("digest")
     shared = shared.unionByName(incoming.filter("n > 1").select("digest"))
-    shared = shared.unionByName(snapshot.buckets.filter("n > 1").select("digest")).distinct()
+    shared = stored(shared.unionByName(snapshot.buckets.filter("n > 1").select("digest")).distinct())
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest_of("text").alias("digest"))
     # grouped by the text alone: the copies of a task are combined first, and Spark may split a hot digest before it
     same = texts.join(shared.hint("shuffle_hash"), "digest").groupBy("text").agg(
