@@ -1,8 +1,8 @@
 """Best-fit packing by hierarchical residual packing.
 
-Every task packs its own pieces best-fit decreasing and emits the bins that are nearly full.  The bins that are left
-become items themselves: they are dealt to fewer tasks and packed again, until one task holds what is left or a round
-no longer saves bins.  A task never holds more than ``items`` rows at a time, so nothing meets in one place unless it
+The pieces are dealt to tasks of about ``items`` rows.  Every task packs its own best-fit decreasing and emits the bins
+that are nearly full.  The bins that are left become items themselves: they are dealt to fewer tasks and packed again,
+until one task holds what is left or a round no longer saves bins.  A task never holds more than ``items`` rows at a time, so nothing meets in one place unless it
 is small.
 
 Defined results: a null text counts as the empty one and gives the end id alone; repeated rows are documents of their
@@ -27,7 +27,7 @@ from loanframe.llm.common import stored
 
 CAPACITY = 2048
 NEARLY = 0.99          # of the capacity; fuller bins are emitted
-ITEMS = 200_000        # rows a task packs at a time
+ITEMS = 500_000        # rows a task packs at a time
 FAN = 8                # tasks whose left-over bins meet in one task of the next round
 WORDS_KEPT = 400_000   # encoded words a worker remembers
 END = 0                # id that ends a document
@@ -178,17 +178,17 @@ def pack(items: DataFrame, capacity: int = CAPACITY, most: int = ITEMS, fan: int
 
     Other columns pass through; sequence_id, offset and full are set here, so such columns of the input are replaced.
     """
-    rows = items.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "full": F.lit(False)})
-    done, left, level, parts = [], rows, 0, None
+    rows = stored(items.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "full": F.lit(False)}))
+    parts = max(1, math.ceil(rows.count() / most))
+    done, left, level, before = [], rows.repartition(parts), 0, math.inf
     while True:
         packed = stored(_round(left, level, capacity, most, nearly))
         done.append(packed.filter("full"))
         left = packed.filter("not full")
         n, bins = left.agg(F.count(F.lit(1)), F.countDistinct("sequence_id")).first()
-        settled = parts == 1 or (level > 0 and bins > 0.998 * before)
-        if not n or settled:
+        if not n or parts == 1 or bins > 0.998 * before:
             break
-        parts = max(1, math.ceil(n / most), math.ceil((parts or packed.rdd.getNumPartitions()) / fan) if n > most // fan else 1)
+        parts = max(math.ceil(n / most), math.ceil(parts / fan))
         before, level = bins, level + 1
         left = left.repartition(parts, "sequence_id")
     result = left
