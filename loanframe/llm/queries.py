@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import exact_dedup, mixing, packing, warc
+from loanframe.llm import exact_dedup, mixing, packing, simhash, warc
 from loanframe.llm.common import new_folder, table
 
 
@@ -29,6 +29,11 @@ FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 """
 
 
+def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     found = packing.pack_documents(table(spark, folder, "documents"), vocabulary())
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -80,7 +85,7 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op5_best_fit_packing, op9_mixing, op10_warc)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_simhash_dedup, op5_best_fit_packing, op9_mixing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
