@@ -11,7 +11,9 @@ own; an empty table gives no pieces; columns besides doc_id and text are not rea
 
 from __future__ import annotations
 
+import itertools
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,30 +31,58 @@ CAPACITY = 2048
 NEARLY = 0.99          # of the capacity; fuller bins are emitted
 ITEMS = 500_000        # rows a task packs at a time
 FAN = 8                # tasks whose left-over bins meet in one task of the next round
-WORDS_KEPT = 400_000   # encoded words a worker remembers
+WORDS_KEPT = 600_000   # encoded chunks a worker remembers
 END = 0                # id that ends a document
+TEXTS = 500            # texts a worker encodes at a time
+
+
+# what the vocabulary parts a chunk without white space into, for chunks of plain Latin characters in lower case
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+SPECIAL = "<|"                          # begins the special tokens
+# characters that stand for bytes inside the vocabulary: printable ones for themselves, the others from 256 on
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE = {b: chr(b) for b in _SELF} | {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_SELF)))}
 
 
 class Encoder:
-    """Encodes texts word by word, each new word once: the vocabulary drops white space and never joins across it."""
+    """Encodes texts chunk by chunk between white space, each new chunk once, with the given vocabulary.
+
+    The vocabulary drops white space and never joins across it.  Chunks of plain Latin characters are parted here, so
+    that a word is encoded once for all the punctuation that follows it; all others go through the whole tokenizer.
+    """
 
     # spaces for str.split() that the vocabulary does not treat as white space; such texts are encoded as they are
     ODD = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str, words_kept: int = WORDS_KEPT):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark has a task for every core
         from tokenizers import Tokenizer
 
-        self.model, self.kept = Tokenizer.from_file(path), words_kept
+        self.whole, self.kept = Tokenizer.from_file(path), words_kept
+        self.model = self.whole.model
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+    def _ids(self, chunk: str) -> list[int]:
+        if not PLAIN.fullmatch(chunk) or SPECIAL in chunk:
+            return self.whole.encode(chunk, add_special_tokens=False).ids
+        ids = []
+        for part in PARTS.findall(chunk.lower()):
+            if part not in self.parts:
+                own = part if part.isascii() else "".join(_BYTE[b] for b in part.encode())
+                self.parts[part] = [token.id for token in self.model.tokenize(own)]
+            ids += self.parts[part]
+        return ids
+
+    def _learn(self, chunks: list[str]) -> None:
+        found = [self._ids(c) for c in chunks]
         size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(size.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
 
@@ -60,22 +90,17 @@ class Encoder:
         """The ids of each text, without end id."""
         if len(self.number) > self.kept:
             self._forget()
-        number, new, rows = self.number, [], []
+        number, known, rows = self.number, len(self.number), []
         for text in texts:
-            words = [] if not text else [text] if self.ODD.search(text) else text.split()
-            fresh = {w for w in words if w not in number}
-            for w in sorted(fresh):
-                number[w] = len(number)
-                new.append(w)
-            rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        if new:
-            self._learn(new)
+            chunks = [] if not text else [text] if self.ODD.search(text) else text.split()
+            rows.append(np.fromiter([number.setdefault(c, len(number)) for c in chunks], np.int64, len(chunks)))
+        if len(number) > known:
+            self._learn(list(itertools.islice(number, known, None)))
         for row in rows:
             size = self.size[row]
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
-            at = np.repeat(self.start[row] - ends + size, size) + np.arange(total)
-            yield self.flat[at]
+            yield self.flat[np.repeat(self.start[row] - ends + size, size) + np.arange(total)]
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
@@ -86,8 +111,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 row, piece, start, length, crc, held = [], [], [], [], [], []
                 for i, found in enumerate(encoder.encode(part.column("text").to_pylist())):
                     whole = np.append(found, np.uint32(END)).astype("<u4")

@@ -90,3 +90,13 @@ def test_best_fit_places_everything(sizes):
     for b in range(len(fill)):
         own = sorted((offset[i], sizes[i]) for i in range(len(sizes)) if bin_of[i] == b)
         assert [o for o, _ in own] == [sum(s for _, s in own[:k]) for k in range(len(own))] and sum(s for _, s in own) == fill[b] <= 50
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aAzZ'sSlLrReE09.,!-_ \t\n\x1c<|>\u00df\u00c9\u00e9\u00f7\u00d7\u00aa\u00b2\u0130\u03a3\u0301\u00a0\u2028"), st.characters(codec="utf-8")), max_size=40))
+def test_chunks_encode_like_whole_texts(text):
+    encoder = ENCODERS[0] if ENCODERS else ENCODERS.append(packing.Encoder(vocabulary())) or ENCODERS[0]
+    assert next(encoder.encode([text])).tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+
+
+ENCODERS: list = []
