@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanframe.llm.common import stored
+
 ROLL = 256 << 20         # bytes after which a task begins a new archive
 GAP = 64 << 10           # bytes between two records that are read rather than skipped
 READ = 8 << 20           # bytes of one coalesced read, unless a single record is longer
@@ -38,7 +40,8 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
     long_enough = F.octet_length(F.coalesce("html", F.lit(""))) >= least
     keys = pages.filter(long_enough).select("page_id", F.sha2(payload.cast("binary"), 256).alias("same"))
     first = keys.groupBy("same").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = rows.join(first.hint("shuffle_hash"), "same", "left")
+    # stored, so that the join deals both sides itself and Spark may split a hot payload
+    found = rows.join(stored(first).hint("shuffle_hash"), "same", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return found.select("page_id", "url", "payload", F.when(again, "revisit").otherwise("response").alias("record_type"),
                         F.when(again, F.col("first")).alias("refers_to"))
