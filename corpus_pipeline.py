@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanframe.llm import exact_dedup, mixing
-from loanframe.llm.common import new_folder, table
+from loanframe.llm import exact_dedup, language, mixing, packing, simhash
+from loanframe.llm.common import new_folder, remainder, table
+from loanframe.llm.queries import vocabulary
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told, with that language; texts without a letter go."""
+    return language.keep_identified(docs, remainder("doc_id", 5) != 0)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,14 +19,27 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.deduplicate(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.deduplicate(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says."""
     return mixing.mix(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and its place there."""
+    return packing.pack_documents(docs, vocabulary())
+
+
 STAGES = [
+    ("language ID", identified),
     ("exact dedup", without_copies),
+    ("SimHash near-dedup", without_near_copies),
     ("mixing", mixed),
+    ("packing", packed),
 ]
 
 # language ID and packing cannot be said in SQL; tests/llm hold the stages against brute force

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import exact_dedup, mixing, packing, simhash, warc
-from loanframe.llm.common import new_folder, table
+from loanframe.llm import exact_dedup, language, mixing, packing, quality, simhash, warc
+from loanframe.llm.common import new_folder, remainder, table
 
 
 def vocabulary() -> str:
@@ -17,6 +17,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    trees = quality.fit(docs, labels.filter(remainder("doc_id", 4) != 2), "quality")
+    return quality.scores(docs, trees).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.decisions(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -39,6 +46,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(table(spark, folder, "documents"), remainder("doc_id", 5) != 0)
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return plan.select(
@@ -85,7 +97,8 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_simhash_dedup, op5_best_fit_packing, op9_mixing, op10_warc)}
+    return {f.__name__: f for f in (
+        op1_quality, op2_exact_dedup, op4_simhash_dedup, op5_best_fit_packing, op7_language, op9_mixing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
