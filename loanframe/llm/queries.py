@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import exact_dedup, language, mixing, packing, quality, simhash, warc
+from loanframe.llm import embedding_dedup, exact_dedup, language, mixing, packing, quality, simhash, warc
 from loanframe.llm.common import new_folder, remainder, table
 
 
@@ -36,6 +36,11 @@ FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 """
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -98,7 +103,7 @@ FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op2_exact_dedup, op4_simhash_dedup, op5_best_fit_packing, op7_language, op9_mixing, op10_warc)}
+        op1_quality, op2_exact_dedup, op3_embedding_dedup, op4_simhash_dedup, op5_best_fit_packing, op7_language, op9_mixing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
