@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import embedding_dedup, exact_dedup, language, mixing, packing, pii, quality, simhash, warc
+from loanframe.llm import embedding_dedup, exact_dedup, language, licences, mixing, packing, pii, quality, simhash, warc
 from loanframe.llm.common import new_folder, remainder, table
 
 
@@ -60,6 +60,10 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_license(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return plan.select(
@@ -107,7 +111,7 @@ FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op2_exact_dedup, op3_embedding_dedup, op4_simhash_dedup, op5_best_fit_packing, op6_pii, op7_language, op9_mixing, op10_warc)}
+        op1_quality, op2_exact_dedup, op3_embedding_dedup, op4_simhash_dedup, op5_best_fit_packing, op6_pii, op7_language, op8_license, op9_mixing, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
