@@ -118,7 +118,11 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
     others = stored(others.filter(F.coalesce(likeness, F.lit(0.0)) < ALIKE / 2))
     rows = stored(_terms(_variants(spark, others).withColumn("label", F.col("label").cast("double"))).select("label", "features", "words"))
     learn = hash_share("words", seed=59) < 0.8
-    model = LogisticRegression(family="multinomial", maxIter=25, regParam=1e-3).fit(rows.filter(learn | (F.col("label") > 0)).select("label", "features"))
+    # every family weighs the same, whatever its number of templates, and all of them together as much as the rest
+    of_label = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weight = F.create_map(*[F.lit(x) for k, n in of_label.items() for x in (k, 100.0 * (len(FAMILIES) - 1 if k == 0 else 1) / n)])
+    train = rows.filter(learn | (F.col("label") > 0)).select("label", "features", weight[F.col("label")].alias("weight"))
+    model = LogisticRegression(family="multinomial", maxIter=40, regParam=2e-4, weightCol="weight").fit(train)
     sure = vector_to_array("probability")[F.col("prediction").cast("int")]
     steps = model.transform(rows.filter(~learn)).groupBy("prediction", F.floor(sure * 50).cast("int").alias("step"))
     counts = steps.agg(F.sum((F.col("label") == F.col("prediction")).cast("int")).alias("right"), F.count(F.lit(1)).alias("n")).collect()

@@ -54,9 +54,11 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights: tuple[int, .
         "total": F.lit(share) * F.sum("source_size").over(everything).cast("double"),
         "full": F.coalesce(F.sum("cap").over(before), F.lit(0.0)),
         "open": F.sum("weight").over(rest),
+        "place": F.row_number().over(fill),
     })
     w = w.withColumn("level", (F.col("total") - F.col("full")) / F.col("open"))
-    w = w.withColumn("level", F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything))
+    settles = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("place", "level"))
+    w = w.withColumn("level", F.min(settles).over(everything)["level"])
     target = F.round(F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))), 6)
     return w.select("source", "source_size", target.alias("target"))
 

@@ -79,8 +79,8 @@ w AS (SELECT source, source_size, 2.0::DOUBLE * source_size AS cap,
 o AS (SELECT *, 1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE) AS total,
              coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
              sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_ FROM w),
-l AS (SELECT *, (total - full_) / open_ AS level FROM o),
-t AS (SELECT source, source_size, cap, weight, min(CASE WHEN level * weight <= cap THEN level END) OVER () AS level FROM l),
+l AS (SELECT *, (total - full_) / open_ AS level, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS place FROM o),
+t AS (SELECT source, source_size, cap, weight, arg_min(level, place) FILTER (level * weight <= cap) OVER () AS level FROM l),
 g AS (SELECT source, source_size, round(least(cap, coalesce(level * weight, cap)), 6) AS target FROM t),
 r AS (SELECT d.doc_id, d.size, g.source_size, g.target,
              CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
