@@ -44,37 +44,38 @@ LABEL_COLUMNS = [
     "preloan_risk_label", "preloan_risk_label_name",
 ]
 
-# ---- fixed values: fields known at application time, alphabetical ----
-APPLICATION_FIELDS = """
-acc_now_delinq acc_open_past_24mths addr_state all_util annual_inc annual_inc_joint
-application_type avg_cur_bal bc_open_to_buy bc_util collections_12_mths_ex_med delinq_2yrs
-delinq_amnt desc dti dti_joint earliest_cr_line emp_length emp_title home_ownership il_util
-inq_fi inq_last_12m inq_last_6mths loan_amnt max_bal_bc mo_sin_old_il_acct
-mo_sin_old_rev_tl_op mo_sin_rcnt_rev_tl_op mo_sin_rcnt_tl mort_acc mths_since_last_delinq
-mths_since_last_major_derog mths_since_last_record mths_since_rcnt_il mths_since_recent_bc
-mths_since_recent_bc_dlq mths_since_recent_inq mths_since_recent_revol_delinq
-num_accts_ever_120_pd num_actv_bc_tl num_actv_rev_tl num_bc_sats num_bc_tl num_il_tl
-num_op_rev_tl num_rev_accts num_rev_tl_bal_gt_0 num_sats num_tl_120dpd_2m num_tl_30dpd
-num_tl_90g_dpd_24m num_tl_op_past_12m open_acc open_acc_6m open_act_il open_il_12m
-open_il_24m open_rv_12m open_rv_24m pct_tl_nvr_dlq percent_bc_gt_75 pub_rec
-pub_rec_bankruptcies purpose pymnt_plan revol_bal revol_bal_joint revol_util
-sec_app_chargeoff_within_12_mths sec_app_collections_12_mths_ex_med sec_app_earliest_cr_line
-sec_app_inq_last_6mths sec_app_mort_acc sec_app_mths_since_last_major_derog
-sec_app_num_rev_accts sec_app_open_acc sec_app_open_act_il sec_app_revol_util tax_liens term
-title tot_coll_amt tot_cur_bal tot_hi_cred_lim total_acc total_bal_ex_mort total_bal_il
-total_bc_limit total_cu_tl total_il_high_credit_limit total_rev_hi_lim verification_status
-verification_status_joint zip_code
-""".split()
+# ---- fixed values: fields known at application time ----
+APPLICATION_FIELDS = [
+    "acc_now_delinq", "acc_open_past_24mths", "addr_state", "all_util", "annual_inc", "annual_inc_joint",
+    "application_type", "avg_cur_bal", "bc_open_to_buy", "bc_util", "collections_12_mths_ex_med",
+    "delinq_2yrs", "delinq_amnt", "desc", "dti", "dti_joint", "earliest_cr_line", "emp_length", "emp_title",
+    "home_ownership", "il_util", "inq_fi", "inq_last_12m", "inq_last_6mths", "loan_amnt", "max_bal_bc",
+    "mo_sin_old_il_acct", "mo_sin_old_rev_tl_op", "mo_sin_rcnt_rev_tl_op", "mo_sin_rcnt_tl", "mort_acc",
+    "mths_since_last_delinq", "mths_since_last_major_derog", "mths_since_last_record", "mths_since_rcnt_il",
+    "mths_since_recent_bc", "mths_since_recent_bc_dlq", "mths_since_recent_inq",
+    "mths_since_recent_revol_delinq", "num_accts_ever_120_pd", "num_actv_bc_tl", "num_actv_rev_tl",
+    "num_bc_sats", "num_bc_tl", "num_il_tl", "num_op_rev_tl", "num_rev_accts", "num_rev_tl_bal_gt_0",
+    "num_sats", "num_tl_120dpd_2m", "num_tl_30dpd", "num_tl_90g_dpd_24m", "num_tl_op_past_12m", "open_acc",
+    "open_acc_6m", "open_act_il", "open_il_12m", "open_il_24m", "open_rv_12m", "open_rv_24m",
+    "pct_tl_nvr_dlq", "percent_bc_gt_75", "pub_rec", "pub_rec_bankruptcies", "purpose", "pymnt_plan",
+    "revol_bal", "revol_bal_joint", "revol_util", "sec_app_chargeoff_within_12_mths",
+    "sec_app_collections_12_mths_ex_med", "sec_app_earliest_cr_line", "sec_app_inq_last_6mths",
+    "sec_app_mort_acc", "sec_app_mths_since_last_major_derog", "sec_app_num_rev_accts", "sec_app_open_acc",
+    "sec_app_open_act_il", "sec_app_revol_util", "tax_liens", "term", "title", "tot_coll_amt", "tot_cur_bal",
+    "tot_hi_cred_lim", "total_acc", "total_bal_ex_mort", "total_bal_il", "total_bc_limit", "total_cu_tl",
+    "total_il_high_credit_limit", "total_rev_hi_lim", "verification_status", "verification_status_joint",
+    "zip_code",
+]
 
-# ---- fixed values: fields known only after the loan was paid out, alphabetical ----
-OUTCOME_FIELDS = """
-collection_recovery_fee debt_settlement_flag hardship_amount hardship_dpd hardship_end_date
-hardship_flag hardship_length hardship_reason hardship_start_date hardship_status
-hardship_type last_credit_pull_d last_pymnt_amnt last_pymnt_d loan_status next_pymnt_d
-out_prncp out_prncp_inv payment_plan_start_date recoveries settlement_amount settlement_date
-settlement_percentage settlement_status total_pymnt total_pymnt_inv total_rec_int
-total_rec_late_fee total_rec_prncp
-""".split()
+# ---- fixed values: fields known only after the loan was paid out ----
+OUTCOME_FIELDS = [
+    "collection_recovery_fee", "debt_settlement_flag", "hardship_flag", "hardship_type", "hardship_reason",
+    "hardship_status", "hardship_amount", "hardship_start_date", "hardship_end_date", "hardship_length",
+    "hardship_dpd", "last_credit_pull_d", "last_pymnt_amnt", "last_pymnt_d", "loan_status", "next_pymnt_d",
+    "out_prncp", "out_prncp_inv", "payment_plan_start_date", "recoveries", "settlement_amount",
+    "settlement_date", "settlement_percentage", "settlement_status", "total_pymnt", "total_pymnt_inv",
+    "total_rec_int", "total_rec_late_fee", "total_rec_prncp",
+]
 OUTCOME_PREFIXES = [
     "hardship_", "last_pymnt", "next_pymnt", "out_prncp", "settlement_", "total_pymnt",
     "total_rec_",
@@ -83,33 +84,28 @@ OUTCOME_PREFIXES = [
 # ---- fixed values: name fragments per business group, first match wins ----
 GROUP_FRAGMENTS = {
     "loan_product_features": [
-        "application_type", "disbursement", "funded", "grade", "initial_list_status",
-        "installment", "int_rate", "issue_d", "loan", "policy_code", "purpose", "sub_grade",
-        "term", "title",
+        "loan", "funded", "term", "int_rate", "grade", "sub_grade", "purpose", "title", "installment",
+        "policy_code", "disbursement", "application_type", "initial_list_status", "issue_d",
     ],
     "repayment_capacity_features": [
-        "all_util", "annual_inc", "avg_cur_bal", "bc_open_to_buy", "dti", "il_util",
-        "installment", "mort_acc", "num_sats", "open_acc", "revol_bal", "revol_util",
-        "tot_cur_bal", "tot_hi_cred_lim", "total_bal", "total_bc_limit",
-        "total_il_high_credit_limit", "total_rev_hi_lim",
+        "annual_inc", "dti", "installment", "revol_bal", "revol_util", "total_bal", "tot_cur_bal",
+        "avg_cur_bal", "bc_open_to_buy", "all_util", "il_util", "total_rev_hi_lim", "total_bc_limit",
+        "total_il_high_credit_limit", "tot_hi_cred_lim", "mort_acc", "open_acc", "num_sats",
     ],
     "credit_risk_features": [
-        "acc_now_delinq", "bankrupt", "chargeoff", "collection", "delinq",
-        "earliest_cr_line", "hardship", "inq", "mths_since", "num_tl", "pct_tl",
-        "percent_bc", "pub_rec", "settlement", "tax_liens",
+        "delinq", "inq", "pub_rec", "collection", "chargeoff", "bankrupt", "tax_liens", "mths_since",
+        "hardship", "settlement", "acc_now_delinq", "num_tl", "pct_tl", "percent_bc", "earliest_cr_line",
     ],
 }
 OTHER_GROUP = "user_base_features"
 
 # ---- fixed values: fields of one applicant that default to null ----
 APPLICANT_FIELDS = {
-    "annual_inc": "double", "delinq_2yrs": "double", "delinq_amnt": "double",
-    "dti": "double", "emp_length": "string", "estimated_overdue_days": "double",
-    "grade": "string", "hardship_dpd": "double", "historical_max_overdue_days": "double",
-    "home_ownership": "string", "inq_last_6mths": "double", "installment": "double",
-    "issue_d": "string", "loan_amnt": "double", "loan_status": "string",
-    "purpose": "string", "sub_grade": "string", "term": "string",
-    "verification_status": "string",
+    "loan_amnt": "double", "annual_inc": "double", "dti": "double", "emp_length": "string",
+    "home_ownership": "string", "purpose": "string", "grade": "string", "sub_grade": "string",
+    "verification_status": "string", "term": "string", "issue_d": "string", "loan_status": "string",
+    "delinq_2yrs": "double", "inq_last_6mths": "double", "delinq_amnt": "double", "installment": "double",
+    "hardship_dpd": "double", "historical_max_overdue_days": "double", "estimated_overdue_days": "double",
 }
 
 # ---- fixed values: strategy texts per scene ({limit} = approved limit) ----

@@ -10,6 +10,9 @@ single rows only inside the one range that is left.
 from __future__ import annotations
 
 import math
+import re
+import sys
+import tempfile
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -25,17 +28,17 @@ SMALL_TABLE = 200_000    # rows up to which a lookup table is broadcast
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the checkpoint folder named by the cluster."""
+    """Cuts the lineage through the checkpoint folder that the session names in ``spark.checkpoint.dir``.
+
+    A session on one machine that names none, as in tests, gets a temporary folder.
+    """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="loanframe-checkpoint-")
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = folder or tempfile.mkdtemp(prefix="loanframe-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
 
@@ -55,8 +58,13 @@ def _scale(x: Column) -> Column:
 
 
 def _range_number(value: Column, low: Column, high: Column, exact_type: str) -> Column:
-    """Weakly increasing range number of ``value`` between ``low`` and ``high``."""
-    as_double = [c.cast("double") for c in (value, low, high)]
+    """Weakly increasing range number of ``value`` between ``low`` and ``high``.
+
+    An infinity has the first or the last range to itself, so a pass always parts it from the finite values.
+    """
+    endless, largest = F.lit(math.inf), F.lit(sys.float_info.max)
+    whole = [c.cast("double") for c in (value, low, high)]
+    as_double = [F.greatest(F.least(c, largest), -largest) for c in whole]
     near = (F.signum(as_double[1]) == F.signum(as_double[2])) & (
         F.greatest(*[F.abs(c) for c in as_double[1:]])
         < 2 * F.least(*[F.abs(c) for c in as_double[1:]])
@@ -68,7 +76,10 @@ def _range_number(value: Column, low: Column, high: Column, exact_type: str) ->
     v, lo, hi = [_scale(c) for c in as_double]
     curved = F.try_divide(v - lo, hi - lo)
     share = F.coalesce(F.when(near, straight).otherwise(curved), straight, F.lit(0.0))
-    return F.least(F.greatest(F.floor(share * RANGES), F.lit(0)), F.lit(RANGES - 1)).cast("int")
+    first = F.when(whole[1] == -endless, 1).otherwise(0)
+    last = F.when(whole[2] == endless, RANGES - 2).otherwise(RANGES - 1)
+    finite = F.least(F.greatest(F.floor(share * RANGES), first), last).cast("int")
+    return F.when(whole[0] == -endless, 0).when(whole[0] == endless, RANGES - 1).otherwise(finite)
 
 
 def order_statistics(
@@ -146,6 +157,8 @@ def order_statistics(
             before = 0
             for row in sorted(per_target[i], key=lambda r: r["lo"]):
                 if inner < before + row["n"]:
+                    if (row["lo"], row["hi"], row["n"]) == still[i][2:5]:
+                        raise ValueError(f"the values of {value} between {row['lo']} and {row['hi']} have no order")
                     open_targets.append((g, rank, row["lo"], row["hi"], row["n"], inner - before))
                     break
                 before += row["n"]
@@ -204,7 +217,7 @@ def exact_quantiles(
 
 def range_bounds(df: DataFrame, value: str, n_rows: int, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
     """Inner bounds that cut ``value`` into ranges of about equal row counts."""
-    parts = min(4096, math.ceil(n_rows / rows_per_range))
+    parts = math.ceil(n_rows / rows_per_range)
     if parts <= 1:
         return []
     shares = [i / parts for i in range(1, parts)]

@@ -23,9 +23,17 @@ def scenario(df: DataFrame) -> Column:
     return F.coalesce(*found, F.lit(vocab.SCENE_NAMES[vocab.DEFAULT_SCENE]))
 
 
+def _amount_text(amount: Column) -> Column:
+    """A number as text; doubles of ten million and more are written out, where a plain cast gives an exponent."""
+    digits = F.regexp_replace(amount.cast("decimal(38,6)").cast("string"), "0+$", "")
+    spelled = F.regexp_replace(digits, "\\.$", ".0")
+    large = (F.typeof(amount) == "double") & (F.abs(amount) >= 1e7) & (F.abs(amount) < 1e16)
+    return F.when(large, spelled).otherwise(amount.cast("string"))
+
+
 def strategy_text(scene: Column, limit: Column) -> Column:
     """Fixed text per scenario with the approved limit filled in."""
-    amount = F.coalesce(limit.cast("string"), F.lit("待定"))
+    amount = F.coalesce(_amount_text(limit), F.lit("待定"))
     out = F
     for name, text in vocab.STRATEGY_TEXTS.items():
         head, mark, tail = text.partition("{limit}")

@@ -66,3 +66,12 @@ def test_review_replies_and_scenarios(spark):
     assert [r[0] for r in df.select(T.reviewed_text(F.col("a"), F.col("b"))).collect()] == ["r", "r", "r", "o", "o", "o", "o", "o"]
     users = spark.createDataFrame([(i,) for i in range(5)], "preloan_risk_label int")
     assert [r[0] for r in users.select(T.scenario(users)).collect()] == ["正常维护", "风险预警", "逾期催收", "协商还款", "风险预警"]
+
+
+def test_limits_of_ten_million_are_written_out(spark):
+    from loanframe.operators.strategy import strategy_text
+
+    rows = spark.createDataFrame([(1, 500.0), (2, 9999999.5), (3, 12345678.0), (4, 10000000.25), (5, None)], "id int, x double")
+    texts = {r.id: r.t for r in rows.select("id", strategy_text(F.lit("正常维护"), F.col("x")).alias("t")).collect()}
+    for i, text in {1: "500.0", 2: "9999999.5", 3: "12345678.0", 4: "10000000.25", 5: "待定"}.items():
+        assert f"额度 {text} 元" in texts[i]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -32,6 +33,18 @@ def test_order_statistics_match_a_sort(spark, name):
         O.order_statistics(df, "v", [(None, len(ordered))])
 
 
+def test_order_statistics_with_infinities(spark):
+    big = 1.7976931348623157e308
+    values = [RNG.gauss(0, 1) for _ in range(300)] + [math.inf] * 3 + [-math.inf] * 2 + [big, -big]
+    ordered = sorted(values)
+    df = frame(spark, values)
+    ranks = [0, 1, 2, 3, 150, len(values) - 5, len(values) - 4, len(values) - 3, len(values) - 1]
+    got = O.order_statistics(df, "v", [(None, r) for r in ranks], leaf_values=4)
+    assert [got[(None, r)] for r in ranks] == [ordered[r] for r in ranks]
+    only = O.order_statistics(frame(spark, [big] * 9 + [math.inf] * 9), "v", [(None, 8), (None, 9)], leaf_values=4)
+    assert [only[(None, r)] for r in (8, 9)] == [big, math.inf]
+
+
 def test_exact_quantiles_both_ways(spark):
     values = [RNG.gauss(0, 1) for _ in range(2001)] + [None] * 10
     df = frame(spark, values).withColumn("none", F.lit(None).cast("double"))
