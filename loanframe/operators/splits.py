@@ -76,20 +76,23 @@ def split_sizes(total: int, shares: tuple[float, float] = (0.70, 0.15)) -> tuple
     return train, val, total - train - val
 
 
-def _numbered(df: DataFrame, cuts: list[Cut], key: str) -> Column:
-    issue_month = month(df, "issue_d")
-    steps = [F.when(c.behind(issue_month, quoted(key)), 1).otherwise(0) for c in cuts]
-    total = steps[0]
-    for s in steps[1:]:
-        total = total + s
-    return total
+def _numbered(df: DataFrame, cuts: list[Cut], key: str, names: tuple = ()) -> Column:
+    """How many boundaries a row lies behind, or the name for it; NULL for rows without an issue month.
+
+    The month is bound to a lambda variable, so it is parsed once for all comparisons.
+    """
+    def behind(issue_month: Column) -> Column:
+        reached = F.lit(names[0] if names else 0)
+        for number, cut in enumerate(cuts, 1):              # boundaries rise, so the last one reached counts
+            reached = F.when(cut.behind(issue_month, quoted(key)), names[number] if names else number).otherwise(reached)
+        return F.when(issue_month.isNotNull(), reached)
+
+    return F.transform(F.array(month(df, "issue_d")), behind)[0]
 
 
 def _label_splits(df: DataFrame, bounds: list[int], counts: list, key: str) -> DataFrame:
-    cuts = cuts_at(df, bounds, counts, key)
-    number = _numbered(df, cuts, key)
-    names = F.when(number == 0, SPLITS[0]).when(number == 1, SPLITS[1]).otherwise(SPLITS[2])
-    return dated_only(df).withColumn("split", names)
+    number = _numbered(df, cuts_at(df, bounds, counts, key), key, SPLITS)
+    return df.withColumn("split", number).where(F.col("split").isNotNull())
 
 
 def temporal_split(df: DataFrame, shares: tuple[float, float] = (0.70, 0.15), key: str = "id") -> DataFrame:
@@ -169,7 +172,7 @@ def with_time_folds(df: DataFrame, n_folds: int = 5, key: str = "id") -> DataFra
     counts = dated_only(df).transform(month_counts).orderBy("issue_month").collect()
     starts = [a for a, _ in fold_bounds(sum(r["n"] for r in counts), n_folds)]
     cuts = cuts_at(df, starts, counts, key)
-    return dated_only(df).withColumn("fold", _numbered(df, cuts, key) - 1)
+    return df.withColumn("fold", _numbered(df, cuts, key) - 1).where(F.col("fold").isNotNull())
 
 
 def fold_sizes(folded: DataFrame, n_folds: int = 5) -> DataFrame:
