@@ -16,7 +16,7 @@ from loanframe.operators.classify import RiskClassifier, probability_columns
 from loanframe.operators.labels import LIMIT, OVERDUE, RISK, SCENE, with_labels
 from loanframe.operators.ordering import durable, random_sample
 from loanframe.operators.tuning import tune_classifier, tune_regressor
-from loanframe.operators.two_stage import TwoStageClassifier, evaluate_stages
+from loanframe.operators.two_stage import TwoStageClassifier, evaluate_stages, predict_with_rules
 from loanframe.operators.weighting import balanced_weight_table
 from loanframe.plans import experiments, prepare, scoring, training
 from loanframe.session import tuned
@@ -636,8 +636,26 @@ def two_stage_evaluation(spark, folder):
     return evaluate_stages(model, ft.part("test"), RISK)
 
 
+def two_stage_threshold_rules(spark, folder):
+    return predict_with_rules(_scored_loans(spark, folder), 0.9).select("id", "threshold_pred", "final_pred")
+
+
+def three_class_maps(spark, folder):
+    three = _labelled(spark, folder).withColumn("three", lookup(F.col(RISK), vocab.TO_THREE_CLASS))
+    return three.select(
+        "id", decision.risk_name(F.col("three"), 3).alias("risk_name"),
+        decision.scene_of_risk(F.col("three"), 3).alias("scene_label"), decision.cap_class_of_risk(F.col("three"), 3).alias("cap_class"),
+    )
+
+
+def bad_versus_good_ks(spark, folder):
+    rows = _scores(spark, folder).select("id", (F.col("y_true") != 0).cast("int").alias("bad"), "p0", (1.0 - F.col("p0")).alias("p_bad"))
+    return metrics.rank_metrics(rows, "bad", ["p0", "p_bad"], [0, 1]).where("label = 1").select(F.round("ks", 9).alias("ks"), F.round("auc", 9).alias("auc"))
+
+
 def metric_table(spark, folder):
-    return metrics.diagnose(_adjusted(_scores(spark, folder)), "y_true", "pred", PROBS, CLASSES)
+    table = metrics.diagnose(_adjusted(_scores(spark, folder)), "y_true", "pred", PROBS, CLASSES)
+    return _rounded(table, 9, "value")
 
 
 def tuned_model(spark, folder):

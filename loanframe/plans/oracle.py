@@ -6,6 +6,8 @@ shortcuts: ranks are plain windows here, thresholds are evaluated one by one.
 
 from __future__ import annotations
 
+import re
+
 from loanframe.functions import vocab
 from loanframe.plans.catalog import EXACT, NUMBERS, REPLY_SQL, SAMPLE_ROWS
 from loanframe.sources.tables import LOAN_SCORES_SQL, LOANS_SQL
@@ -280,6 +282,31 @@ SAMPLED = """SELECT id FROM (SELECT k.*, quota, row_number() OVER (PARTITION BY
     FROM keyed k JOIN quota USING (strata_key)) WHERE pos <= quota"""
 
 
+def _metric_table() -> str:
+    """The long table of all metrics: per class, over all classes, and means of the ranked ones."""
+    def renamed(ctes: dict[str, str], tag: str) -> dict[str, str]:
+        for old in ("long", "cnt", "roc"):
+            ctes = {k: re.sub(rf"\b{old}\b", f"{tag}_{old}", v) for k, v in ctes.items()}
+        return {f"{tag}_{k}": v for k, v in ctes.items()}
+
+    ranked = f"""SELECT label, {AUC} AS auc, greatest(max(cum_pos / all_pos - (cum_n - cum_pos) / (all_n - all_pos)), 0) AS ks FROM one_roc GROUP BY label"""
+    captured = """SELECT label, sum(hit) FILTER (pos <= top) / sum(hit)::DOUBLE AS capture FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, id) AS pos,
+      greatest(floor(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE), 1) AS top FROM one_long) GROUP BY label"""
+    pairs = PAIR_AUC.replace("FROM roc", "FROM two_roc")
+    extra = {
+        **FULL_REPORT, **renamed(_roc(CLASS_LONG, "label"), "one"), **renamed(_roc(PAIR_LONG, '"left", "right", side'), "two"),
+        "ranked": ranked, "captured": captured, "summary": SUMMARY,
+        "pair": f"SELECT avg(auc) AS auc_ovo_macro, sum(auc * n_pair) / sum(n_pair) AS auc_ovo_weighted FROM ({pairs})",
+    }
+    own = {"rep": ["precision", "recall", "f1", "support", "predicted"], "ranked": ["auc", "ks"], "captured": ["capture"]}
+    parts = [f"SELECT 'class' AS scope, CAST(label AS INTEGER) AS label, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value FROM {t}" for t, ms in own.items() for m in ms]
+    overall = re.findall(r"AS (\w+)(?=,| FROM rep)", SUMMARY)
+    parts += [f"SELECT 'all', NULL, '{m}', CAST({m} AS DOUBLE) FROM summary" for m in overall if m not in ("n_rows", "BIGINT")]
+    parts += [f"SELECT 'all', NULL, '{m}', {m} FROM pair" for m in ("auc_ovo_macro", "auc_ovo_weighted")]
+    parts += [f"SELECT 'all', NULL, '{m}_mean', avg({m}) FROM {t}" for t, m in (("ranked", "auc"), ("ranked", "ks"), ("captured", "capture"))]
+    return _sql(f"SELECT 'model' AS model, scope, label, metric, round(value, 9) AS value FROM ({_union(parts)})", "scores", extra=extra)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     # scans
@@ -493,6 +520,26 @@ def oracle_sql() -> dict[str, str]:
     q["scenario_text"] = _sql(f"SELECT id, {scene} AS strategy_scenario, {filled} AS strategy_content, 'local_fallback' AS strategy_source FROM fin", "st", "scores", extra=RULE_CTES)
     by_label = _case("preloan_risk_label + CASE WHEN id % 7 = 0 THEN 2 ELSE 0 END", vocab.SCENE_NAMES, "'风险预警'")
     q["scenario_resolution"] = _sql(f"""SELECT id, CASE WHEN id % 3 = 0 OR id % 5 < 3 THEN {_case('postloan_scene_label', vocab.SCENE_NAMES)} ELSE {by_label} END AS strategy_scenario FROM lb""", "lb")
+    q["two_stage_threshold_rules"] = _sql("SELECT id, pred AS threshold_pred, final_pred FROM fin", "st", "scores",
+        extra={**RULE_CTES, "adj": ADJ.replace("0.8::DOUBLE", "0.9::DOUBLE")})
+    three = "CASE preloan_risk_label WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END"
+    q["three_class_maps"] = _sql(f"""SELECT id, {_case(three, vocab.RISK_NAMES_3)} AS risk_name, CAST(CASE {three} WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END AS INTEGER) AS scene_label,
+      CAST({three} AS INTEGER) AS cap_class FROM rl""", "rl")
+    bad = _roc("SELECT id, 1 AS label, 1.0::DOUBLE - p0 AS score, CASE WHEN y_true <> 0 THEN 1 ELSE 0 END AS hit FROM scores", "label")
+    q["bad_versus_good_ks"] = _sql(f"SELECT round(greatest(max(cum_pos / all_pos - (cum_n - cum_pos) / (all_n - all_pos)), 0), 9) AS ks, round({AUC}, 9) AS auc FROM roc", "scores", extra=bad)
+    q["metric_table"] = _metric_table()
+    facts = [("id", "id"), ("risk_label", "final_pred"), ("annual_inc", "annual_inc"), ("dti", "dti"), ("approved_credit_limit", approved)]
+    lines = ", ".join(f"concat('  \"{n}\" : ', CAST({e} AS VARCHAR))" if n == "id" else
+                      f"CASE WHEN {e} IS NOT NULL THEN concat('  \"{n}\" : ', CAST({e} AS VARCHAR)) END" for n, e in facts)
+    task = "CASE final_pred " + " ".join(f"WHEN {c} THEN {_quote(vocab.PROMPT_TEXTS[n])}" for c, n in vocab.SCENE_NAMES.items()) + " END"
+    fixed = _quote(f"\n\n{vocab.RED_LINES}\n\n{vocab.OUTPUT_RULES}\n\n{vocab.PROFILE_HEADING}\n")
+    q["prompt_rows"] = _sql(f"""SELECT id, concat({task}, {fixed}, '{{', chr(10), array_to_string(list_filter([{lines}], lambda x: x IS NOT NULL), ',' || chr(10)), chr(10), '}}') AS prompt
+      FROM fin""", "st", "scores", extra=RULE_CTES)
+    wanted = """CASE WHEN n > 1 AND n < (SELECT max(n) FROM c)
+      THEN greatest(n, least((SELECT max(n) FROM c), greatest((SELECT max(n) FROM c WHERE n < (SELECT max(n) FROM c)), ceil((SELECT max(n) FROM c) / 5.0)))) ELSE n END"""
+    q["smote_rows"] = _sql(f"""SELECT label AS preloan_risk_label, false AS is_synthetic, n FROM c
+      UNION ALL SELECT label, true, CAST({wanted} - n AS BIGINT) FROM c WHERE {wanted} > n""",
+        "train", extra={"c": "SELECT preloan_risk_label AS label, count(*) AS n FROM train GROUP BY 1"})
     reply = REPLY_SQL
     q["review_responses"] = f"""SELECT id, coalesce(nullif(trim(json_extract_string(nullif(regexp_extract(reply, '(?s)([{{].*[}}])', 1), ''), '$.revised_content')), ''), original) AS final_content
       FROM (SELECT o_orderkey AS id, concat('原文 ', o_orderkey) AS original, {reply} AS reply FROM orders)"""
