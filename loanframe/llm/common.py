@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,10 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for cut lineage; a temporary one only where none is set, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="loanframe-shared-")
-        spark.sparkContext.setCheckpointDir(named)
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -133,13 +137,18 @@ def components(links: DataFrame) -> DataFrame:
         e = stored(_small_star(_large_star(e)))
 
 
+def _lowest(e: DataFrame) -> DataFrame:
+    """Smallest neighbour per node; stored, so that the join deals both sides itself and Spark may split a hot node."""
+    return stored(e.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")))
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m"))
+    low = _lowest(both).select("n", F.least("n", "m").alias("m"))
     return both.filter("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
+    low = _lowest(e)
     hung = e.join(low, F.col("a") == F.col("n")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(low.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
