@@ -594,11 +594,11 @@ def _scored_by(spark, folder, kind, **params):
 
 
 def lr_scores(spark, folder):
-    return _scored_by(spark, folder, "logistic_regression", max_iter=50)
+    return _scored_by(spark, folder, "logistic_regression")
 
 
 def tree_scores(spark, folder):
-    return _scored_by(spark, folder, "decision_tree", max_depth=5)
+    return _scored_by(spark, folder, "decision_tree")
 
 
 def forest_scores(spark, folder):
@@ -660,17 +660,13 @@ def metric_table(spark, folder):
 
 def tuned_model(spark, folder):
     ft = _features(spark, folder)
-    folded = splits.with_time_folds(ft.part("train"), 3)
-    found = tune_classifier(
-        folded, ft.part("val"), "logistic_regression", ft.features, RISK, {"C": [0.1, 10.0]}, n_folds=3, max_iter=20
-    )
+    found = tune_classifier(splits.with_time_folds(ft.part("train")), ft.part("val"), "logistic_regression", ft.features, RISK)
     return found.trial_table(spark)
 
 
 def tuned_regressor(spark, folder):
     ft = _features(spark, folder)
-    folded = splits.with_time_folds(ft.part("train"), 3)
-    found = tune_regressor(folded, ft.part("val"), "ridge", ft.features, LIMIT, {"alpha": [0.1, 10.0]}, n_folds=3)
+    found = tune_regressor(splits.with_time_folds(ft.part("train")), ft.part("val"), "ridge", ft.features, LIMIT)
     return found.trial_table(spark)
 
 
@@ -689,13 +685,13 @@ def enn_rows(spark, folder):
 
 def linear_attributions(spark, folder):
     ft = _features(spark, folder)
-    model = RiskClassifier("logistic_regression", ft.features, RISK, max_iter=50).fit(ft.part("train"))
+    model = RiskClassifier("logistic_regression", ft.features, RISK).fit(ft.part("train"))
     return explain.linear_attributions(model, ft.part("test"), ft.part("train"))
 
 
 def permutation_importance(spark, folder):
     ft = _features(spark, folder)
-    model = RiskClassifier("decision_tree", ft.features, RISK, "auto", max_depth=5).fit(ft.part("train"))
+    model = RiskClassifier("decision_tree", ft.features, RISK, "auto").fit(ft.part("train"))
     return explain.permutation_importance(model, ft.part("test"), RISK)
 
 
@@ -710,7 +706,7 @@ def grid_search(spark, folder):
 
 
 def strategy_experiment(spark, folder):
-    return experiments.compare_strategies(_features(spark, folder), ("baseline", "weighted", "two_stage"), **LIGHT)
+    return experiments.compare_strategies(_features(spark, folder), **LIGHT)
 
 
 def baseline_experiment(spark, folder):
@@ -739,7 +735,7 @@ def final_confusion(spark, folder):
 
 
 def three_class_experiment(spark, folder):
-    return experiments.three_class_scan(_split(spark, folder), SELECT, sampling="smote", **LIGHT)
+    return experiments.three_class_scan(_split(spark, folder), SELECT, **LIGHT)
 
 
 def sampling_experiment(spark, folder):
