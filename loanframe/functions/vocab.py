@@ -26,8 +26,6 @@ DEFAULT_SCENE = 1
 TO_THREE_CLASS = {0: 0, 1: 1, 2: 1, 3: 2}
 TO_THREE_CLASS_SEVERITY = {0: 0, 1: 1, 2: 2, 3: 2}
 TO_TWO_CLASS = {0: 0, 1: 1, 2: 1, 3: 1}
-# the older 5-class label kept classes 2 and 3 apart
-FIVE_TO_FOUR_CLASS = {0: 0, 1: 1, 2: 2, 3: 2, 4: 3}
 
 # ---- fixed values: class weights ----
 STRONG_WEIGHTS = {0: 1.0, 1: 5.0, 2: 20.0, 3: 35.0}

@@ -22,20 +22,21 @@ from loanframe.operators.weighting import class_counts, resolve, weight_column
 KINDS = ("logistic_regression", "decision_tree", "random_forest", "xgboost", "lightgbm")
 UNBOUNDED_DEPTH = 30     # deepest tree the library grows
 
+# ---- fixed values: parameters and grids of the model families; the last three names are those of pyspark.ml ----
 DEFAULTS = {
     "logistic_regression": {"C": 1.0, "max_iter": 1000},
-    "decision_tree": {"max_depth": UNBOUNDED_DEPTH, "min_rows": 1},
-    "random_forest": {"n_estimators": 300, "max_depth": UNBOUNDED_DEPTH, "min_rows": 1},
-    "xgboost": {"n_estimators": 200, "max_depth": 6, "learning_rate": 0.05, "row_share": 0.8, "column_share": 0.8},
-    "lightgbm": {"n_estimators": 200, "max_depth": 7, "learning_rate": 0.05, "row_share": 1.0, "column_share": 1.0},
+    "decision_tree": {"max_depth": UNBOUNDED_DEPTH, "minInstancesPerNode": 1},
+    "random_forest": {"n_estimators": 300, "max_depth": UNBOUNDED_DEPTH, "minInstancesPerNode": 1},
+    "xgboost": {"n_estimators": 200, "max_depth": 6, "learning_rate": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": 0.8},
+    "lightgbm": {"n_estimators": 200, "max_depth": 7, "learning_rate": 0.05, "subsamplingRate": 1.0, "featureSubsetStrategy": 1.0},
 }
 GRIDS = {
     "logistic_regression": {"C": [0.1, 1.0, 10.0]},
-    "decision_tree": {"max_depth": [3, 5, 7, 9, UNBOUNDED_DEPTH], "min_rows": [1, 5, 15]},
-    "random_forest": {"n_estimators": [100, 200, 300], "max_depth": [5, 7, 9, UNBOUNDED_DEPTH], "min_rows": [1, 5, 10]},
+    "decision_tree": {"max_depth": [3, 5, 7, 9, UNBOUNDED_DEPTH], "minInstancesPerNode": [1, 5, 15]},
+    "random_forest": {"n_estimators": [100, 200, 300], "max_depth": [5, 7, 9, UNBOUNDED_DEPTH], "minInstancesPerNode": [1, 5, 10]},
     "xgboost": {
         "n_estimators": [100, 200, 300], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.05, 0.1],
-        "row_share": [0.8, 1.0], "column_share": [0.8, 1.0],
+        "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": [0.8, 1.0],
     },
     "lightgbm": {"n_estimators": [50, 100, 200, 300], "max_depth": [3, 5, 7, 9], "learning_rate": [0.01, 0.05, 0.1]},
 }
@@ -74,14 +75,14 @@ class RiskClassifier(Estimator):
                 regParam=1.0 / (p["C"] * total_weight), standardization=False,
             )
         if self.kind == "decision_tree":
-            return DecisionTreeClassifier(**common, maxDepth=p["max_depth"], minInstancesPerNode=p["min_rows"], seed=self.seed)
+            return DecisionTreeClassifier(**common, maxDepth=p["max_depth"], minInstancesPerNode=p["minInstancesPerNode"], seed=self.seed)
         if self.kind == "random_forest":
             return RandomForestClassifier(
-                **common, numTrees=p["n_estimators"], maxDepth=p["max_depth"], minInstancesPerNode=p["min_rows"], seed=self.seed
+                **common, numTrees=p["n_estimators"], maxDepth=p["max_depth"], minInstancesPerNode=p["minInstancesPerNode"], seed=self.seed
             )
         return GBTClassifier(
             **common, maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-            subsamplingRate=p["row_share"], featureSubsetStrategy="all" if p["column_share"] >= 1 else str(p["column_share"]),
+            subsamplingRate=p["subsamplingRate"], featureSubsetStrategy="all" if p["featureSubsetStrategy"] >= 1 else str(p["featureSubsetStrategy"]),
             seed=self.seed,
         )
 

@@ -19,6 +19,7 @@ from loanframe.functions.fields import (
 )
 from loanframe.operators.metrics import class_report, report_summary
 
+# ---- fixed values: grids and caps ----
 THRESHOLD_GRID = [x / 100.0 for x in range(50, 100)]
 LOSS_GRID = [0.50, 0.45, 0.40, 0.35, 0.30, 0.25, 0.20, 0.15]
 GRID_THRESHOLDS = [0.65, 0.70, 0.75, 0.80, 0.85, None]      # None searches the best one
@@ -176,6 +177,7 @@ def historic_overdue(df: DataFrame) -> Column:
     return F.coalesce(F.greatest(*signals, implied, F.when(inferred > 0, inferred)), F.lit(0.0))
 
 
+# ---- fixed values: class demanded by each rule ----
 RULE_CLASSES = {
     "overdue_over_180": 3, "overdue_91_to_180": 2, "overdue_31_to_90": 2,
     "burden_and_delinquency": 2, "burden_and_inquiries": 1,
@@ -251,11 +253,6 @@ def risk_name(label: Column, n_classes: int = 4) -> Column:
     return lookup(label, names, vocab.UNKNOWN_NAME)
 
 
-def class_name(label: Column, names: dict[int, str] | None = None) -> Column:
-    """Display name in reports; classes without one are numbered."""
-    return F.coalesce(lookup(label, names or vocab.RISK_NAMES), F.concat(F.lit("类别"), label.cast("string")))
-
-
 def scene_of_risk(label: Column, n_classes: int = 4) -> Column:
     mapping = {0: 0, 1: 1, 2: 3} if n_classes <= 3 else {c: c for c in range(4)}
     return lookup(label, mapping, vocab.DEFAULT_SCENE)

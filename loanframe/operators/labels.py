@@ -18,6 +18,7 @@ LIMIT = "calibrated_credit_limit"
 OVERDUE = "estimated_overdue_days"
 SCENE = "postloan_scene_label"
 
+# ---- fixed values: bands and shares of the credit limit ----
 LIMIT_BANDS = [(5_000, "<=5k"), (10_000, "5k-10k"), (20_000, "10k-20k"), (50_000, "20k-50k")]
 TOP_BAND = "50k+"
 RISK_MULTIPLIERS = {0: 1.0, 1: 0.85, 2: 0.55, 3: 0.20}

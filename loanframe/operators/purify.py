@@ -13,7 +13,7 @@ from loanframe.functions.fields import (
 )
 from loanframe.operators.labels import RISK
 from loanframe.operators.ordering import (
-    SMALL_TABLE, dealt, exact_quantiles, quota_edges, rows_up_to_edge,
+    dealt, durable, exact_quantiles, quota_edges, rows_up_to_edge,
 )
 
 CORE_FIELDS = ["annual_inc", "dti", "delinq_2yrs", "inq_last_6mths"]
@@ -187,10 +187,8 @@ def stratified_sample(df: DataFrame, target_ratio: float = 4.0, seed: int = 42,
     keyed = dealt(normal.withColumn("strata_key", strata_key(normal, edges)), key, seed)
     share = quotas(strata_sizes(keyed), target)
     last = quota_edges(keyed, ["strata_key"], share, "__b")
-    if target < SMALL_TABLE or last.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
-        # one row per stratum
-        last = df.sparkSession.createDataFrame(last.collect(), last.schema)
-        narrow.unpersist()
+    last = durable(last)            # one row per stratum; it frees the counted columns
+    narrow.unpersist()
     marked = dealt(df.withColumns({"__normal": is_normal(df), "strata_key": strata_key(df, edges)}), key, seed)
     kept = rows_up_to_edge(marked, ["strata_key"], last, "__b", ["__h", key], always=~F.col("__normal"))
     return kept.drop("__normal", "strata_key", "__h", "__b").select(*df.columns)

@@ -14,7 +14,7 @@ from loanframe.functions.fields import lookup, quoted
 from loanframe.operators import decision, explain, features, labels, metrics, purify, regress, resample, selection, splits, strategy
 from loanframe.operators.classify import RiskClassifier, probability_columns
 from loanframe.operators.labels import LIMIT, OVERDUE, RISK, SCENE, with_labels
-from loanframe.operators.ordering import durable, random_sample
+from loanframe.operators.ordering import random_sample
 from loanframe.operators.tuning import tune_classifier, tune_regressor
 from loanframe.operators.two_stage import TwoStageClassifier, evaluate_stages, predict_with_rules
 from loanframe.operators.weighting import balanced_weight_table
@@ -46,11 +46,6 @@ def _split(spark, folder):
     return prepare.labelled_splits(_loans(spark, folder))
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """The labelled table as the build job leaves it: written, not recomputed."""
-    return durable(df)
-
-
 def _scores(spark, folder):
     return tables.loan_scores(tuned(spark), folder)
 
@@ -215,13 +210,13 @@ def purify_rule_counts(spark, folder):
 
 
 def strata_quota(spark, folder):
-    kept = purify.purify(_stored(_labelled(spark, folder)))
+    kept = purify.purify(_labelled(spark, folder))
     keyed = purify.with_strata(kept.where(purify.is_normal(kept)))
     return purify.quotas(purify.strata_sizes(keyed), 3000)
 
 
 def stratified_sample(spark, folder):
-    return purify.stratified_sample(_stored(_labelled(spark, folder)), target_ratio=1.0).select("id")
+    return purify.stratified_sample(_labelled(spark, folder), target_ratio=1.0).select("id")
 
 
 def seeded_sample(spark, folder):
@@ -229,7 +224,7 @@ def seeded_sample(spark, folder):
 
 
 def purified_splits(spark, folder):
-    return purify.purify_splits(_stored(_split(spark, folder)), 1.0).groupBy("split", RISK).agg(F.count("*").alias("n"))
+    return purify.purify_splits(_split(spark, folder), 1.0).groupBy("split", RISK).agg(F.count("*").alias("n"))
 
 
 # --------------------------------------------------------------------------- features
@@ -689,6 +684,10 @@ def linear_attributions(spark, folder):
     return explain.linear_attributions(model, ft.part("test"), ft.part("train"))
 
 
+def overall_attributions(spark, folder):
+    return explain.overall_attributions(linear_attributions(spark, folder))
+
+
 def permutation_importance(spark, folder):
     ft = _features(spark, folder)
     model = RiskClassifier("decision_tree", ft.features, RISK, "auto").fit(ft.part("train"))
@@ -723,7 +722,7 @@ def limit_model_experiment(spark, folder):
 
 
 def purification_experiment(spark, folder):
-    return experiments.compare_purification(_stored(_split(spark, folder)), SELECT, **LIGHT)
+    return experiments.compare_purification(_split(spark, folder), SELECT, **LIGHT)
 
 
 def maturity_experiment(spark, folder):

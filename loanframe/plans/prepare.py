@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from loanframe.operators.labels import with_labels
 from loanframe.operators.purify import purify_splits
 from loanframe.operators.splits import check_split_sizes, ordered_cut, temporal_split
-from loanframe.sources.tables import drop_identifiers, first_rows, write_by_month
+from loanframe.sources.tables import first_rows, write_by_month
 
 
 def labelled_splits(loans: DataFrame) -> DataFrame:
@@ -32,8 +32,3 @@ def build_tables(loans: DataFrame, path: str, target_ratio: float = 4.0) -> dict
     sizes = check_split_sizes(split)
     write_by_month(purify_splits(split, target_ratio), f"{path}/purified")
     return sizes
-
-
-def model_columns(split: DataFrame) -> DataFrame:
-    """The split table without direct identifiers, the key kept as ``id``."""
-    return drop_identifiers(split.withColumnRenamed("id", "__id")).withColumnRenamed("__id", "id")
