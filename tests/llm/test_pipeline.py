@@ -9,7 +9,7 @@ from tests.llm.fixtures import LONG
 from tests.llm.test_packing import check_sequences, plain_pieces
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = "/root/testdata/sf0.001"
 
 
 def test_stages_and_run(spark, tmp_path):
