@@ -119,7 +119,8 @@ def decisions(docs: DataFrame, old: Column | None = None, digest_of: Callable[[s
 
 def deduplicate(docs: DataFrame, old: Column | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = decisions(docs, old).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
-    rows = docs.select("doc_id", digest("text").alias("digest"), F.struct("*").alias("row"))
-    found = rows.join(kept, (F.col("digest") == F.col("kept_digest")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return found.dropDuplicates(["doc_id", "digest"]).select("row.*")
+    # a key without nulls, so that the join and the dropping of repeated rows share one deal of the wide rows
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id_text")
+    kept = decisions(docs, old).filter("kept").select("digest", id_text)
+    rows = docs.select(digest("text").alias("digest"), id_text, F.struct("*").alias("row"))
+    return rows.join(kept, ["digest", "id_text"], "left_semi").dropDuplicates(["digest", "id_text"]).select("row.*")

@@ -31,7 +31,7 @@ CAPACITY = 2048
 NEARLY = 0.99          # of the capacity; fuller bins are emitted
 ITEMS = 500_000        # rows a task packs at a time
 FAN = 8                # tasks whose left-over bins meet in one task of the next round
-WORDS_KEPT = 600_000   # encoded chunks a worker remembers
+WORDS_KEPT = 400_000   # encoded chunks a worker remembers
 END = 0                # id that ends a document
 TEXTS = 500            # texts a worker encodes at a time
 
