@@ -86,7 +86,7 @@ def test_ridge_matches_normal_equations(spark):
 
 def test_shuffled_values_are_a_permutation(spark, featured):
     pre, table = featured
-    out = with_shuffled(table.select("id", "loan_amnt__scaled"), ["loan_amnt__scaled"], "id", 3, rows_per_bucket=300)
+    out = with_shuffled(table.select("id", "loan_amnt__scaled"), ["loan_amnt__scaled"], "id", 3, buckets=5)
     a = sorted(r[0] for r in out.select("loan_amnt__scaled").collect())
     assert a == sorted(r[0] for r in out.select("other.c0").collect())
     model = RiskClassifier("decision_tree", pre.outputs, RISK, max_depth=3).fit(table)
