@@ -311,17 +311,20 @@ def take_first(df: DataFrame, strata: list[str], quotas: DataFrame, bucket: str,
     return rows_up_to_edge(df, strata, quota_edges(df, strata, quotas, bucket), bucket, order)
 
 
-def dealt(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """Adds the shuffle key ``__h`` and its leading digits ``__b``.
+def bucket_digits(n_rows: int, rows_per_bucket: int = ROWS_PER_RANGE) -> int:
+    """Hexadecimal digits that leave a bucket of ``n_rows`` rows about ``rows_per_bucket`` of them at most."""
+    return max(3, math.ceil(math.log(max(1, n_rows) / rows_per_bucket, 16)))
 
-    As a bucket the digits hold about 1/4096 of a stratum, however large it is.
-    """
-    return df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, 3))
+
+def dealt(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
+    """Adds the shuffle key ``__h`` and its leading ``digits`` as ``__b``; the order is that of the whole key."""
+    return df.withColumn("__h", shuffle_key(quoted(key), seed)).withColumn("__b", F.substring("__h", 1, digits))
 
 
 def take_by_quota(df: DataFrame, strata: str, quotas: DataFrame, key: str, seed: int) -> DataFrame:
     """Per stratum the ``quota`` rows that come first in a seeded shuffle."""
-    return take_first(dealt(df, key, seed), [strata], quotas, "__b", ["__h", key]).drop("__h", "__b")
+    digits = bucket_digits(df.select(F.lit(1)).count())
+    return take_first(dealt(df, key, seed, digits), [strata], quotas, "__b", ["__h", key]).drop("__h", "__b")
 
 
 def random_sample(df: DataFrame, limit: int | None, seed: int, key: str = "id") -> DataFrame:

@@ -13,7 +13,7 @@ from loanframe.functions.fields import (
 )
 from loanframe.operators.labels import RISK
 from loanframe.operators.ordering import (
-    dealt, durable, exact_quantiles, quota_edges, rows_up_to_edge,
+    bucket_digits, dealt, durable, exact_quantiles, quota_edges, rows_up_to_edge,
 )
 
 CORE_FIELDS = ["annual_inc", "dti", "delinq_2yrs", "inq_last_6mths"]
@@ -183,13 +183,13 @@ def stratified_sample(df: DataFrame, target_ratio: float = 4.0, seed: int = 42,
     if n_normal == 0 or n_normal == n_rows or n_normal <= target:
         narrow.unpersist()
         return df
-    edges = strata_edges(normal)
-    keyed = dealt(normal.withColumn("strata_key", strata_key(normal, edges)), key, seed)
+    edges, digits = strata_edges(normal), bucket_digits(n_rows)
+    keyed = dealt(normal.withColumn("strata_key", strata_key(normal, edges)), key, seed, digits)
     share = quotas(strata_sizes(keyed), target)
     last = quota_edges(keyed, ["strata_key"], share, "__b")
     last = durable(last)            # one row per stratum; it frees the counted columns
     narrow.unpersist()
-    marked = dealt(df.withColumns({"__normal": is_normal(df), "strata_key": strata_key(df, edges)}), key, seed)
+    marked = dealt(df.withColumns({"__normal": is_normal(df), "strata_key": strata_key(df, edges)}), key, seed, digits)
     kept = rows_up_to_edge(marked, ["strata_key"], last, "__b", ["__h", key], always=~F.col("__normal"))
     return kept.drop("__normal", "strata_key", "__h", "__b").select(*df.columns)
 

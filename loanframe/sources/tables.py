@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,17 +78,20 @@ def align_columns(df: DataFrame, columns: list[str], fill=0.0, dtype: str = "dou
     ])
 
 
-def write_by_month(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_by_month(df: DataFrame, path: str, fmt: str = "parquet", rows_per_task: int = 1_000_000) -> None:
     """One directory per split and issue month.
 
     Rows are clustered by month and a hash of the key before the write, so a
     task writes few directories and a month holding a large part of the table
-    is spread over many files instead of one task.
+    is spread over as many tasks as its rows, counted first, ask for.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(64))
+    dated = df.withColumn("issue_month", F.date_format(month(df, "issue_d"), "yyyy-MM"))
+    counts = {r["issue_month"]: r["count"] for r in dated.groupBy("issue_month").count().collect()}     # one row per month
+    parts = [F.lit(x) for m, n in counts.items() if m for x in (m, math.ceil(n / rows_per_task))]
+    many = F.coalesce(F.create_map(*parts)[F.col("issue_month")], F.lit(1)) if parts else F.lit(1)
+    spread = F.pmod(F.xxhash64("id"), many)
     (
-        df.withColumn("issue_month", F.date_format(month(df, "issue_d"), "yyyy-MM"))
-        .repartition("split", "issue_month", spread)
+        dated.repartition("split", "issue_month", spread)
         .write.mode("overwrite").partitionBy("split", "issue_month").format(fmt).save(path)
     )
 
