@@ -1,10 +1,16 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line of the text.  Sparse word uni- and bigrams, hashed, go into a multinomial logistic regression
-over licence families and the class ``unknown``.  Families are learned from variants of their templates, ``unknown``
+A paragraph is a run of lines up to a line without letters or digits; line breaks and comment marks part words like
+spaces.  What is classified are its lines one by one and, where it has several lines or many words, overlapping windows
+of its words: every run of ``WINDOW - STEP + 1`` words, which is longer than any template, stands in one window.  Sparse
+word uni- and bigrams, hashed, go into a multinomial logistic regression over licence families and the class
+``unknown``.  Families are learned from variants of their templates, ``unknown``
 from a bounded sample of the table's paragraphs.  A family's threshold is set on held-back examples so that the wanted
 share of what passes is right; whatever is below it is unknown.  A prediction counts when enough of some template's
-word pairs, rarer wording included, stand in the paragraph.
+word pairs, rarer wording included, stand in the line or window.  Without some of its rarer words no template can have
+enough pairs, so only lines and windows with one of these words are looked at.  Where an end is cut off that would tell
+families apart, the words around decide: the other family must not be as alike here and more alike with them.  The lines of a hit are those that its
+template's word pairs stand in; hits of one family that share a line are one, but every line confirmed alone counts.
 
 Everything runs as column expressions and ``pyspark.ml`` stages.
 
@@ -55,6 +61,8 @@ VARIANTS = 40          # of each template
 AT_MOST = 6_000        # paragraphs of the table that the class unknown is learned from
 PRECISION = 0.98       # wanted of what passes a family's threshold
 ALIKE = 0.6            # share of a template's word pairs that confirms a prediction
+WINDOW = 40            # words classified together
+STEP = 16              # words from one window to the next
 
 
 def words(paragraph: Column) -> Column:
@@ -75,11 +83,56 @@ def _terms(rows: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="features").transform(rows)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, line, paragraph) of every line that has a letter; a text without one has a row of nulls."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("rid", "doc_id", F.posexplode(F.split("text", "\\R")).alias("line", "paragraph"))
-    return rows.withColumn("paragraph", F.when(F.col("paragraph").rlike("\\p{L}"), F.col("paragraph")))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(paragraph) of every line that has a letter."""
+    rows = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\\R")).alias("paragraph"))
+    return rows.filter(F.col("paragraph").rlike("\\p{L}"))
+
+
+def units(docs: DataFrame) -> DataFrame:
+    """(rid, doc_id, alone, words, at, wide): lines, and windows of paragraphs, that a template's rarer word stands in.
+
+    ``at`` has the line of each word, ``wide`` the words around as well, ``alone`` tells the lines.  A paragraph without any has a row of nulls, and so has
+    a text without paragraphs.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.split(F.coalesce("text", F.lit("")), "\\R").alias("lines"))
+    ends = F.concat(F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~F.col("lines")[i].rlike("[\\p{L}\\p{N}]")), F.array(F.size("lines")))
+    rows = rows.withColumn("ends", ends)
+    each = F.transform("ends", lambda end, k: F.struct(F.when(k > 0, F.col("ends")[k - 1] + 1).otherwise(0).alias("start"), end.alias("end")))
+    rows = rows.withColumn("part", F.explode_outer(F.filter(each, lambda x: x["end"] > x["start"])))
+    rows = rows.select("rid", "doc_id", "part.start", F.slice("lines", F.col("part.start") + 1, F.col("part.end") - F.col("part.start")).alias("lines"))
+    rows = rows.withColumn("by_line", F.transform("lines", lambda x: words(F.regexp_replace(x, "^\\s*(?i:dnl|rem)\\s", " "))))
+    rows = rows.select("rid", "doc_id", "start", "by_line", F.flatten("by_line").alias("all"), F.flatten(
+        F.transform("by_line", lambda w, i: F.array_repeat(F.col("start") + i, F.size(w)))).alias("at"))
+    beside = lambda i: F.coalesce(F.get("by_line", i), F.array().cast("array<string>"))
+
+    def line(w: Column, i: Column) -> Column:
+        before = F.reverse(F.slice(F.reverse(beside(i - 1)), 1, F.lit(STEP)))
+        return F.struct(F.lit(True).alias("alone"), w.alias("words"), F.array_repeat(F.col("start") + i, F.size(w)).alias("at"),
+                        F.concat(before, w, F.slice(beside(i + 1), 1, F.lit(STEP))).alias("wide"))
+
+    def window(i: Column) -> Column:
+        wide = F.slice("all", F.greatest(F.lit(1), i + 1 - STEP), F.lit(WINDOW + 2 * STEP))
+        return F.struct(F.lit(False).alias("alone"), F.slice("all", i + 1, F.lit(WINDOW)).alias("words"), F.slice("at", i + 1, F.lit(WINDOW)).alias("at"), wide.alias("wide"))
+
+    starts = F.when((F.size("by_line") > 1) | (F.size("all") > WINDOW), F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("all") - WINDOW + STEP - 1), F.lit(STEP)))
+    both = F.concat(F.transform("by_line", line), F.transform(F.coalesce(starts, F.array().cast("array<int>")), window))
+    telling = F.array(*[F.lit(w) for w in sorted(_telling())])
+    fine = F.filter(both, lambda u: F.arrays_overlap(u["words"], telling))
+    return rows.select("rid", "doc_id", F.explode_outer(fine).alias("u")).select("rid", "doc_id", "u.*")
+
+
+def _telling() -> set[str]:
+    """Words without which the rest of no template, longest words first, has the share ALIKE of its pairs."""
+    found = set()
+    for w in (_plain_words(t) for _, t in TEMPLATES):
+        pairs, n = set(zip(w, w[1:])), len(set(zip(w, w[1:])))
+        for word in sorted(set(w), key=lambda x: (x not in found, -len(x), x)):
+            if len(pairs) < ALIKE * n:
+                break
+            found.add(word)
+            pairs = {p for p in pairs if word not in p}
+    return found
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -95,7 +148,9 @@ def _variants(spark: SparkSession, others: DataFrame) -> DataFrame:
     known = numbered.select(F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")).cast("int").alias("label"), kept.alias("words"), "v")
     around = others.limit(VARIANTS).select(F.slice("words", 1, 12).alias("extra"), (F.row_number().over(_by_hash()) - 1).alias("k"))
     mixed = known.filter("v % 2 = 1").join(F.broadcast(around), F.col("v") == F.col("k"))
-    mixed = mixed.select("label", F.when(F.col("v") % 4 == 1, F.concat("extra", "words")).otherwise(F.concat("words", "extra")).alias("words"))
+    around_it = F.concat(F.slice("extra", 1, 6), "words", F.slice("extra", 7, 12))
+    mixed = mixed.select("label", F.when(F.col("v") % 4 == 1, F.concat("extra", "words")).when(
+        F.col("v") % 8 == 3, around_it).otherwise(F.concat("words", "extra")).alias("words"))
     rows = known.select("label", "words").unionByName(mixed)
     return rows.withColumn("label", F.col("label") - 1).unionByName(others.select(F.lit(0).alias("label"), "words"))
 
@@ -109,7 +164,7 @@ def _by_hash():
 def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION) -> tuple[LogisticRegressionModel, list[float]]:
     """The model and the threshold of each family."""
     spark = lines.sparkSession
-    usable = lines.filter("paragraph is not null")
+    usable = lines
     n = usable.count()
     draw = hash_share("paragraph", seed=53)
     # paragraphs that look like a template are no examples of anything else
@@ -153,28 +208,58 @@ def _plain_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+(?:[-.][^\W_]+)*", text.lower())
 
 
+def _stand(of: Column, k: int) -> Column:
+    """The first and the last word of ``of`` that the pairs of template ``k`` need, each pair where it stands last."""
+    w = _plain_words(TEMPLATES[k][1])
+    own = F.reverse(_pairs(of))
+    places = F.transform(F.array_intersect(own, F.array(*[F.lit(f"{a} {b}") for a, b in zip(w, w[1:])])), lambda p: (F.size(own) - F.array_position(own, p)).cast("int"))
+    return F.struct(F.array_min(places).alias("first"), (F.array_max(places) + 1).alias("last"))
+
+
 def hits(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
-    """(rid, doc_id, line, family, chance, likeness) of confirmed paragraphs; a text without one has a row of nulls."""
-    lines = paragraphs(docs)
-    model, limits = fit(lines, at_most)
-    scored = model.transform(_terms(lines.withColumn("words", words(F.coalesce("paragraph", F.lit(""))))))
+    """(rid, doc_id, alone, line, last, family, chance, likeness) of confirmed lines and windows; a paragraph without one has a row of nulls."""
+    model, limits = fit(lines_of(docs), at_most)
+    scored = model.transform(_terms(units(docs).withColumn("words", F.coalesce("words", F.array().cast("array<string>")))))
     best = F.col("prediction").cast("int")
-    scored = scored.select("rid", "doc_id", "line", "words", best.alias("k"), vector_to_array("probability")[best].alias("chance"))
+    scored = scored.select("rid", "doc_id", "alone", "words", "at", "wide", best.alias("k"), vector_to_array("probability")[best].alias("chance"))
     limit = F.array(*[F.lit(x) for x in limits])[F.col("k")]
-    passed = (F.col("k") > 0) & (F.col("chance") >= limit)
+    passed = F.col("alone").isNotNull() & (F.col("k") > 0) & (F.col("chance") >= limit)
     named = F.array(*[F.lit(FAMILIES.index(f)) for f, _ in TEMPLATES])
-    own = F.filter(F.arrays_zip(_likeness(F.col("words")).alias("x"), named.alias("f")), lambda t: t["f"] == F.col("k"))
-    likeness = F.when(passed, F.array_max(F.transform(own, lambda t: t["x"])))
-    scored = scored.select("rid", "doc_id", "line", "k", "chance", likeness.alias("likeness"))
-    fine = F.coalesce(F.col("likeness") >= ALIKE, F.lit(False))
+    own = lambda c: F.zip_with(c, named, lambda x, f: F.when(f == F.col("k"), x).otherwise(-1.0))
+    alike = [F.when(passed, _likeness(F.col(c))).alias(n) for c, n in (("words", "here"), ("wide", "around"))]
+    scored = scored.select("rid", "doc_id", "alone", "words", "at", "k", "chance", *alike).withColumn("likeness", F.array_max(own(F.col("here"))))
+    scored = scored.withColumns({"which": F.array_position(own(F.col("here")), F.col("likeness")) - 1, "most": F.array_max(own(F.col("around")))})
+    other = F.exists(F.arrays_zip("here", "around", named.alias("f")), lambda t: (t["f"] != F.col("k")) & (t["here"] >= F.col("likeness")) & (t["around"] > F.col("most")))
+    fine = F.coalesce((F.col("likeness") >= ALIKE) & ~other, F.lit(False))
+    where = F.lit(None).cast("struct<first:int,last:int>")
+    for k in range(len(TEMPLATES)):
+        where = F.when(fine & (F.col("which") == k), _stand(F.col("words"), k)).otherwise(where)
     family = F.array(*[F.lit(f) for f in FAMILIES])[F.col("k")]
+    scored = scored.withColumn("where", where)
     return scored.select("rid", "doc_id", *[F.when(fine, c).alias(n) for n, c in (
-        ("line", F.col("line")), ("family", family), ("chance", F.col("chance")), ("likeness", F.col("likeness")))])
+        ("alone", F.col("alone")), ("line", F.col("at")[F.col("where.first")]), ("last", F.col("at")[F.col("where.last")]), ("family", family),
+        ("chance", F.col("chance")), ("likeness", F.col("likeness")))])
+
+
+def _number(of: Column) -> Column:
+    """How many hits the sorted (family, line, last, alone) are."""
+    start = F.struct(F.lit("").alias("family"), F.lit(-1).alias("last"), F.lit(-1).alias("alone"), F.lit(0).alias("n"))
+
+    def put(done: Column, h: Column) -> Column:
+        same = (done["family"] == h["family"]) & (h["line"] <= done["last"])
+        before = F.when(same, done["alone"]).otherwise(F.lit(-1))
+        more = F.when(~same | (h["alone"] & (before >= 0) & (before != h["line"])), 1).otherwise(0)
+        return F.struct(
+            h["family"].alias("family"), F.when(same, F.greatest(done["last"], h["last"])).otherwise(h["last"]).alias("last"),
+            F.when(h["alone"], h["line"]).otherwise(before).alias("alone"), (done["n"] + more).alias("n"))
+
+    return F.aggregate(of, start, put, lambda done: done["n"].cast("bigint"))
 
 
 def scan(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
     """Per text: doc_id, n_hits, families (sorted, comma-joined), first_line, chance (largest)."""
+    hit = F.when(F.col("family").isNotNull(), F.struct("family", "line", "last", "alone"))
     rows = hits(docs, at_most).groupBy("rid").agg(
-        F.first("doc_id").alias("doc_id"), F.count("family").alias("n_hits"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
+        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set(hit)).alias("all"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
         F.min("line").alias("first_line"), F.max("chance").alias("chance"))
-    return rows.drop("rid")
+    return rows.select("doc_id", _number(F.col("all")).alias("n_hits"), "families", "first_line", "chance")

@@ -33,6 +33,46 @@ def test_templates_names_and_awkward_rows(spark):
     assert licences.scan(given.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "GPL-3.0": """/*
+ * frob - frobnicates files
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */""",
+    "BSD": """# Copyright (c) 2019, The Authors
+# All rights reserved.
+#
+# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+# 1. Redistributions of source code must retain the above copyright notice""",
+    "MIT": """// Copyright (c) 2020 The Authors
+//
+// Permission is hereby granted, free of charge, to any person obtaining
+// a copy of this software and associated documentation files (the
+// "Software"), to deal in the Software without restriction""",
+}
+
+
+def test_notices_wrapped_over_lines(spark):
+    other = table(spark, FOLDER, "documents").select(docs(spark).columns)
+    prose = " ".join(r.text for r in other.filter("text is not null").orderBy("doc_id").limit(3).collect())
+    rows, want = [], {}
+    for k, (family, text) in enumerate(WRAPPED.items()):
+        bare = [re.sub(r"^\W+", "", line) for line in text.splitlines()]
+        line = min(i for i, x in enumerate(bare) if re.match("it under|Redistribution and|Permission", x))
+        for n, (form, first) in enumerate([(text, line), ("\r\n".join(bare), line), (" ".join(prose.split()[:500] + bare + prose.split()[500:900]), 0)]):
+            rows.append((20_000 + 10 * k + n, form, None, None, None))
+            want[rows[-1][0]] = (family, 1, first)
+    # halves of a notice parted by a blank line are no notice
+    rows.append((20_100, "with or without modification, are permitted\n\nRedistribution and use in source", None, None, None))
+    want[20_100] = ("", 0, None)
+    found = licences.scan(other.unionByName(spark.createDataFrame(rows, other.schema))).filter("doc_id >= 20000").collect()
+    assert {r.doc_id: (r.families, r.n_hits, r.first_line) for r in found} == want
+
+
 def test_main_path_has_no_python(spark):
     plan = op8_license(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
