@@ -3,7 +3,8 @@
 A rotation of the principal axes is learned on a bounded sample so that its signs are balanced binary codes.  A code is
 cut into substrings; per substring a vector stands in its own bucket and in those that set one more bit, so two vectors
 whose substrings differ in one bit at most meet in exactly one bucket of that table.  Substring length follows the
-number of vectors, and as many rotations are learned as keep the expected recall at the threshold above ``recall``.
+number of vectors, and as many rotations are learned as keep the expected recall at the threshold above ``recall``:
+longer substrings are paid for with rotations, not with links.
 
 First the codes alone are compared, which leaves the vectors that have a near code in a bucket.  Only those carry their
 original numbers to the bucket, where cosines are computed in double precision, in blocks.  A pair that meets in
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from loanframe.llm.common import components, hash_share, sorted_groups, stored
 
 COSINE = 0.9
-RECALL = 0.95          # expected, of pairs exactly at the threshold; closer pairs are found more surely
+RECALL = 0.9995        # expected, of pairs exactly at the threshold, at any number of vectors; closer pairs are found more surely
 SAMPLE = 20_000        # vectors that a rotation is learned on
 NUMBERS = 4_000_000    # and numbers in them
 LOAD = 16              # vectors expected in a bucket's own rows
@@ -81,6 +82,13 @@ def learn(sample: np.ndarray, bits: int, rotations: int, near: int) -> Codes:
     return Codes(axes, bits, near)
 
 
+def rotations_for(bits: int, dimension: int, cosine: float = COSINE, recall: float = RECALL) -> int:
+    """Rotations that substrings of ``bits`` bits need for the wanted recall."""
+    length, p = min(64, dimension), math.acos(cosine) / math.pi
+    found = (1 - p) ** (bits - 1) * (1 - p + bits * p)
+    return max(1, math.ceil(math.log(1 - recall) / (max(1, length // bits) * math.log(max(1e-12, 1 - found)))))
+
+
 def plan(n: int, dimension: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int, int]:
     """Substring bits, rotations and the largest distance of whole codes for ``n`` vectors.
 
@@ -89,9 +97,7 @@ def plan(n: int, dimension: int, cosine: float = COSINE, recall: float = RECALL)
     """
     length, p = min(64, dimension), math.acos(cosine) / math.pi
     bits = max(1, min(length, max(8, min(20, math.ceil(math.log2(max(n, 2) / LOAD))))))
-    found = (1 - p) ** (bits - 1) * (1 - p + bits * p)
-    rotations = max(1, math.ceil(math.log(1 - recall) / (max(1, length // bits) * math.log(max(1e-12, 1 - found)))))
-    return bits, rotations, math.ceil(length * p + 3 * math.sqrt(length * p * (1 - p)))
+    return bits, rotations_for(bits, dimension, cosine, recall), math.ceil(length * p + 3 * math.sqrt(length * p * (1 - p)))
 
 
 def _usable(vector: str, dimension: int) -> Column:
@@ -237,8 +243,12 @@ def _bucket(own: dict, unit: np.ndarray, code: np.ndarray, codes: Codes, cosine:
     return counted, links
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links and component_id of every row of ``vectors`` (vec_id, embedding)."""
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE, block: int = BLOCK,
+                    bits: int | None = None, rotations: int | None = None) -> DataFrame:
+    """vec_id, n_links and component_id of every row of ``vectors`` (vec_id, embedding).
+
+    ``bits`` and ``rotations`` take the place of the planned ones.
+    """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
     sizes = rows.filter("size(vector) > 0").groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     common = sizes.orderBy(F.desc("n"), "d").first()
@@ -247,7 +257,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     classes = usable.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()))
     many = classes.count()
-    bits, rotations, near = plan(many, dimension, cosine, recall)
+    planned = plan(many, dimension, cosine, recall)
+    bits, near = min(bits or planned[0], 64, dimension), planned[2]
+    rotations = rotations or rotations_for(bits, dimension, cosine, recall)
     at_most = max(1, min(sample, NUMBERS // dimension))
     draw = hash_share("vector", seed=31)
     chosen = classes.filter(draw < 1.1 * at_most / max(1, many)).orderBy(draw).limit(at_most).select("vector").toArrow()

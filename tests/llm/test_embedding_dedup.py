@@ -62,6 +62,25 @@ def test_recall(spark, cosine, least):
     assert sum(n for n, _ in got.values()) >= least * sum(n for n, _ in want.values())
 
 
+def test_planned_recall_does_not_depend_on_the_number_of_vectors():
+    p = np.arccos(0.9) / np.pi
+    for n in (1_000, 20_000, 35_279, 10**6, 10**7, 10**9):
+        bits, rotations, _ = dedup.plan(n, 64)
+        missed = 1 - (1 - p) ** (bits - 1) * (1 - p + bits * p)
+        assert 1 - missed ** (rotations * (64 // bits)) >= 0.999, n
+
+
+@pytest.mark.parametrize("bits", [12, 16, 20])
+def test_recall_of_long_substrings(spark, bits):
+    rows = clustered(6, 500, cosine=0.9005)
+    want, frame = brute(rows), spark.createDataFrame(rows, SCHEMA)
+    got = found_in(dedup.near_duplicates(frame, bits=bits, rotations=dedup.plan(16 << bits, 64)[1]))
+    share = sum(n for n, _ in got.values()) / sum(n for n, _ in want.values())
+    print(bits, dedup.plan(16 << bits, 64), share)
+    assert dedup.plan(16 << bits, 64)[0] == bits and all(got[i][0] <= want[i][0] for i in want)
+    assert share >= 0.995
+
+
 def test_blocks_of_a_full_bucket_change_nothing(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=16)
