@@ -29,9 +29,6 @@ NUMBERS = ["loan_amnt", "annual_inc", "dti", "delinq_amnt", "delinq_2yrs", "inq_
 # never interpolated in these tables, and full of ties at six digits
 EXACT = ["delinq_amnt"]
 SAMPLE_ROWS = 5_000
-# light settings for the fitted queries: they show the path, not model quality
-LIGHT = {"n_estimators": 3, "max_depth": 3}
-SELECT = {"top_k": 20, "n_trees": 5, "max_depth": 4}
 
 
 def _loans(spark, folder):
@@ -568,7 +565,7 @@ def review_responses(spark, folder):
 
 
 def _features(spark, folder):
-    return training.prepare_features(_split(spark, folder), **SELECT)
+    return training.prepare_features(_split(spark, folder))
 
 
 def rf_top_features(spark, folder):
@@ -577,7 +574,7 @@ def rf_top_features(spark, folder):
 
 def pca_components(spark, folder):
     model, table = _preprocessed(spark, folder)
-    selector = selection.FeatureSelector(model.outputs, RISK, top_k=15, n_trees=5, max_depth=4, pca_share=0.95).fit(_train_rows(table))
+    selector = selection.FeatureSelector(model.outputs, RISK, pca_share=0.95).fit(_train_rows(table))
     out = selector.transform(table)
     return out.select("id", *selector.outputs)
 
@@ -597,11 +594,11 @@ def tree_scores(spark, folder):
 
 
 def forest_scores(spark, folder):
-    return _scored_by(spark, folder, "random_forest", n_estimators=10, max_depth=5)
+    return _scored_by(spark, folder, "random_forest")
 
 
 def gbt_scores(spark, folder):
-    return _scored_by(spark, folder, "lightgbm", **LIGHT)
+    return _scored_by(spark, folder, "lightgbm")
 
 
 def _limits_by(spark, folder, kind, **params):
@@ -616,18 +613,18 @@ def ridge_limits(spark, folder):
 
 
 def gbt_limits(spark, folder):
-    return _limits_by(spark, folder, "lightgbm", **LIGHT)
+    return _limits_by(spark, folder, "lightgbm")
 
 
 def two_stage_scores(spark, folder):
     ft = _features(spark, folder)
-    model = TwoStageClassifier(ft.features, RISK, valid=ft.part("val"), **LIGHT).fit(ft.part("train"))
+    model = TwoStageClassifier(ft.features, RISK, valid=ft.part("val")).fit(ft.part("train"))
     return model.transform(ft.table).select("id", "split", RISK, *PROBS, "prediction")
 
 
 def two_stage_evaluation(spark, folder):
     ft = _features(spark, folder)
-    model = TwoStageClassifier(ft.features, RISK, valid=ft.part("val"), **LIGHT).fit(ft.part("train"))
+    model = TwoStageClassifier(ft.features, RISK, valid=ft.part("val")).fit(ft.part("train"))
     return evaluate_stages(model, ft.part("test"), RISK)
 
 
@@ -696,49 +693,48 @@ def permutation_importance(spark, folder):
 
 def batch_scoring(spark, folder):
     split = _split(spark, folder)
-    chain = training.train_chain(split, top_k=20, n_trees=5, tree_depth=4, **LIGHT)
+    chain = training.train_chain(split)
     return scoring.score_batch(_loans(spark, folder), chain).select("id", *scoring.RECORD)
 
 
 def grid_search(spark, folder):
-    return experiments.weight_threshold_grid(_features(spark, folder), **LIGHT)
+    return experiments.weight_threshold_grid(_features(spark, folder))
 
 
 def strategy_experiment(spark, folder):
-    return experiments.compare_strategies(_features(spark, folder), **LIGHT)
+    return experiments.compare_strategies(_features(spark, folder))
 
 
 def baseline_experiment(spark, folder):
-    params = {"logistic_regression": {"max_iter": 50}, "random_forest": {"n_estimators": 10, "max_depth": 5}, "xgboost": LIGHT}
-    return experiments.compare_kinds(_features(spark, folder), tuple(params), "test", params)
+    return experiments.compare_kinds(_features(spark, folder), ("logistic_regression", "random_forest", "xgboost"), "test")
 
 
 def weight_mode_experiment(spark, folder):
-    return experiments.compare_weight_modes(_features(spark, folder), **LIGHT)
+    return experiments.compare_weight_modes(_features(spark, folder))
 
 
 def limit_model_experiment(spark, folder):
-    return experiments.compare_limit_kinds(_features(spark, folder), LIMIT, params={"lightgbm": LIGHT})
+    return experiments.compare_limit_kinds(_features(spark, folder), LIMIT)
 
 
 def purification_experiment(spark, folder):
-    return experiments.compare_purification(_split(spark, folder), SELECT, **LIGHT)
+    return experiments.compare_purification(_split(spark, folder), {})
 
 
 def maturity_experiment(spark, folder):
-    return experiments.four_class_confusion(_split(spark, folder), SELECT, **LIGHT)
+    return experiments.four_class_confusion(_split(spark, folder), {})
 
 
 def final_confusion(spark, folder):
-    return experiments.four_class_confusion(_split(spark, folder), SELECT, filter_mature=False, **LIGHT)
+    return experiments.four_class_confusion(_split(spark, folder), {}, filter_mature=False)
 
 
 def three_class_experiment(spark, folder):
-    return experiments.three_class_scan(_split(spark, folder), SELECT, **LIGHT)
+    return experiments.three_class_scan(_split(spark, folder), {})
 
 
 def sampling_experiment(spark, folder):
-    return experiments.compare_sampling(_features(spark, folder), **LIGHT)
+    return experiments.compare_sampling(_features(spark, folder))
 
 
 def queries() -> dict:

@@ -1,3 +1,5 @@
+from unittest.mock import MagicMock as Mock
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,9 +10,9 @@ from loanframe.operators.labels import LIMIT, RISK
 from loanframe.operators.regress import LimitRegressor
 from loanframe.operators.splits import with_time_folds
 from loanframe.operators.tuning import tune_classifier
-from loanframe.operators.two_stage import TwoStageClassifier
+from loanframe.operators.two_stage import TwoStageClassifier, TwoStageModel
 from loanframe.operators.weighting import resolve
-from loanframe.plans import prepare, scoring, training
+from loanframe.plans import catalog, prepare, scoring, training
 from loanframe.sources import tables
 from tests.conftest import SMALL
 
@@ -71,6 +73,46 @@ def test_two_stage_and_tuning(spark, featured):
     assert len(tuned.trials) == 2 and tuned.score == max(v for _, v in tuned.trials)
 
 
+def test_two_stage_tune(spark, featured):
+    pre, table = featured
+    train, valid = table.where("split = 'train'"), table.where("split = 'val'")
+    model = TwoStageClassifier(pre.outputs, RISK, kind="decision_tree").tune(with_time_folds(train, 2), valid, {"max_depth": [2, 3]}, n_folds=2)
+    out = model.transform(valid)
+    assert out.count() == valid.count() and out.where(F.abs(F.col("p0") + F.col("p1") + F.col("p2") + F.col("p3") - 1) > 1e-9).count() == 0
+    assert model.first.classes == [0, 1] and 0 not in model.second.classes and 0 < model.threshold <= 1
+
+
+@pytest.mark.parametrize("two_stage,resample", [(True, True), (True, False), (False, True)])
+def test_chain_with_resampling_and_two_stages(spark, split, two_stage, resample):
+    chain = training.train_chain(split, two_stage=two_stage, resample=resample, top_k=10, n_trees=2, tree_depth=3, **LIGHT)
+    assert isinstance(chain.risk, TwoStageModel) == two_stage and 0 <= chain.metrics["macro_f1"] <= 1
+    assert scoring.score_batch(tables.loans(spark, SMALL), chain).count() == tables.loans(spark, SMALL).count()
+
+
+def test_fitted_queries_use_the_defaults(monkeypatch):
+    """What the queries hand to the fits, without running them."""
+    used = []
+
+    def note(name):
+        return lambda *args, **params: used.append((name, [x for x in args if x != RISK and not isinstance(x, Mock)], params)) or Mock()
+
+    for module, names in ((catalog, ["RiskClassifier", "TwoStageClassifier", "_split", "_loans", "_preprocessed", "_train_rows", "probability_columns", "evaluate_stages"]),
+                          (catalog.training, ["prepare_features", "train_chain"]), (catalog.selection, ["FeatureSelector"]), (catalog.regress, ["LimitRegressor"]),
+                          (catalog.experiments, [n for n in vars(catalog.experiments) if n.startswith(("compare_", "weight_threshold_", "four_class_", "three_class_"))])):
+        for name in names:
+            monkeypatch.setattr(module, name, note(name) if name != "_preprocessed" else lambda *a: (Mock(), Mock()))
+    monkeypatch.setattr(catalog.decision, "capped_limit", note("capped_limit"))
+    monkeypatch.setattr(catalog.scoring, "score_batch", note("score_batch"))
+    fitted = ["forest_scores", "gbt_scores", "gbt_limits", "two_stage_scores", "two_stage_evaluation", "batch_scoring", "grid_search", "strategy_experiment",
+              "baseline_experiment", "weight_mode_experiment", "limit_model_experiment", "purification_experiment", "maturity_experiment", "final_confusion",
+              "three_class_experiment", "sampling_experiment", "pca_components"]
+    for name in fitted:
+        catalog.queries()[name](Mock(), "")
+    small = {"n_estimators", "max_depth", "n_trees", "top_k", "tree_depth", "max_iter", "params"}
+    assert len(used) > len(fitted)
+    assert not [u for u in used if small & set(u[2]) or any(isinstance(x, dict) and x for x in u[1])]
+
+
 def test_ridge_matches_normal_equations(spark):
     import numpy as np
 
