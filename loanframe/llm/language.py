@@ -161,7 +161,14 @@ def identify(docs: DataFrame, learn: Column, at_most: int = AT_MOST) -> DataFram
 
 
 def keep_identified(docs: DataFrame, learn: Column, at_most: int = AT_MOST) -> DataFrame:
-    """The rows whose language can be told, with the language found; rows without a letter go."""
+    """The rows with a letter, with the language found, or the one they had if there is no model."""
     model = fit(docs.filter(learn).select("doc_id", "lang", "text"), at_most)
-    found = predict(docs, model, [F.struct("*").alias("row")]).filter(F.col("lang_pred") != UNKNOWN)
+    if model is None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([bool(t and LETTER.search(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+    found = predict(docs, model, [F.struct("*").alias("row")])
+    found = found.filter(F.col("lang_pred") != UNKNOWN)
     return found.withColumn("row", F.col("row").withField("lang", F.col("lang_pred"))).select("row.*")

@@ -48,3 +48,11 @@ def test_stages_and_run(spark, tmp_path):
             assert check_sequences(rows) <= 1.02 * sum(r.length for r in rows) / 2048 + 1
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in whole.collect()) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in rows)
+
+
+def test_documents_without_any_language_stay(spark):
+    rows = [(i, t, None, "src", 3) for i, t in enumerate(["plain words", None, "", "1 2 3", "schöne Wörter", "éa"])]
+    docs = spark.createDataFrame(rows, table(spark, FOLDER, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema)
+    out = corpus_pipeline.identified(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, docs.filter("doc_id in (0, 4, 5)").collect()))
