@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanframe.llm import embedding_dedup, exact_dedup, language, licences, mixing, packing, pii, quality, simhash, warc
+from loanframe.llm import (
+    alignment, collocations, embedding_dedup, exact_dedup, language, licences, mixing, packing, pii, quality, simhash, topk_search, warc,
+)
 from loanframe.llm.common import new_folder, remainder, table
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,10 +111,56 @@ FROM f
 """
 
 
+def op11_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(coalesce(list_inner_product(a.q, b.q), 0) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+                  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, list_aggregate(w[i:i + m - 1], 'string_agg', ' ') AS phrase
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) t(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, m, phrase, f AS a, w FROM f WHERE m > 1),
+inside AS (SELECT lang, list_aggregate(w[s:s + k - 1], 'string_agg', ' ') AS phrase, max(a) AS longer
+           FROM c, (VALUES (1, 2), (2, 2), (3, 2), (1, 3), (2, 3)) t(s, k) WHERE k < m AND s + k - 1 <= m GROUP BY 1, 2),
+kept AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+cuts AS (SELECT kept.lang, kept.phrase, a, k, h.f AS l, t.f AS r, CAST(2000000::HUGEINT * a // (h.f::HUGEINT + t.f) AS BIGINT) AS score
+         FROM kept, (VALUES (1), (2), (3)) x(k), f h, f t
+         WHERE k < kept.m AND h.lang = kept.lang AND h.phrase = list_aggregate(kept.w[1:k], 'string_agg', ' ')
+           AND t.lang = kept.lang AND t.phrase = list_aggregate(kept.w[k + 1:kept.m], 'string_agg', ' ')),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM low JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op2_exact_dedup, op3_embedding_dedup, op4_simhash_dedup, op5_best_fit_packing, op6_pii, op7_language, op8_license, op9_mixing, op10_warc)}
+        op1_quality, op2_exact_dedup, op3_embedding_dedup, op4_simhash_dedup, op5_best_fit_packing, op6_pii, op7_language, op8_license, op9_mixing, op10_warc,
+        op11_topk_search, op12_token_alignment, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op9_mixing": OP9_SQL, "op10_warc": OP10_SQL, "op11_topk_search": OP11_SQL, "op13_collocations": OP13_SQL}
