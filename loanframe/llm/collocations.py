@@ -1,7 +1,8 @@
 """Phrase collocations: frequent n-grams by mergeable Misra-Gries summaries, then exact counts.
 
 Words are read piece by piece, phrases of one to four words never cross a piece.  First pass: tasks count the hashes of all
-phrases they hold and send them to hash partitions.  A partition's summary keeps as many counters as its mass (all
+phrases they hold and send them to hash partitions: words and pairs first, then those longer phrases whose pairs have all
+survived, as no phrase is more frequent than a pair in it.  A partition's summary keeps as many counters as its mass (all
 occurrences in it) divided by the threshold, plus one; when more arrive, the largest counter beyond the capacity is taken
 off all of them.  What was taken off in all bounds the error of every counter, and mass / (capacity + 1) bounds that below
 the threshold: a phrase that reaches the threshold always survives.  Second pass: tasks count the survivors in all texts
@@ -108,34 +109,44 @@ def phrase_hashes(chunk: Chunk, number: dict[bytes, int], names: dict[str, int],
         yield n, at, h[at]
 
 
-def local_counts(docs: DataFrame, partitions: int, longest: int = LONGEST, held_most: int = HELD) -> DataFrame:
-    """What tasks counted: part, key, n; rows without key carry the mass of a part."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def local_counts(docs: DataFrame, partitions: int, lengths: tuple[int, ...], pairs: np.ndarray | None = None, held_most: int = HELD) -> DataFrame:
+    """What tasks counted of phrases of the given lengths: key and n; rows with a part carry the mass of that part.
+
+    With a filter of ``pairs``, only phrases whose pairs all pass it are counted.
+    """
+    shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
         keys, n, mass = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(partitions, np.int64)
 
         def sent() -> Iterator[pa.RecordBatch]:
-            yield from _batches(keys, n, (keys % np.uint64(partitions)).astype(np.int64))
+            for at in range(0, len(keys), 100_000):
+                own = keys[at:at + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int32()), pa.array(own), pa.array(n[at:at + 100_000])], names=["part", "key", "n"])
 
         for chunk, number in chunks(batches, names):
-            new, many = np.unique(np.concatenate([h for _, _, h in phrase_hashes(chunk, number, names, longest)]), return_counts=True)
-            mass += np.bincount((new % np.uint64(partitions)).astype(np.int64), many, partitions).astype(np.int64)
+            found, fine = [np.zeros(0, np.uint64)], np.zeros(len(chunk.ids) + LONGEST, bool)
+            for size, at, h in phrase_hashes(chunk, number, names, max(lengths)):
+                if size == 2 and shared is not None:
+                    fine[at] = passed(shared.value, h)
+                if size in lengths:
+                    found.append(h if shared is None else h[np.logical_and.reduce([fine[at + k] for k in range(size - 1)])])
+            new, many = np.unique(np.concatenate(found), return_counts=True)
+            mass += np.bincount(new.view(np.int64) % partitions, many, partitions).astype(np.int64)
             keys, n = merged(keys, n, new, many)
             if len(keys) > held_most:
                 yield from sent()
                 keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         yield from sent()
         parts = np.flatnonzero(mass)
-        yield pa.RecordBatch.from_arrays([pa.array(parts), pa.nulls(len(parts), pa.int64()), pa.array(mass[parts])], names=["part", "key", "n"])
-
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "part bigint, key bigint, n bigint")
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.nulls(len(parts), pa.int64()), pa.array(mass[parts])], names=["part", "key", "n"])
 
-
-def _batches(keys: np.ndarray, n: np.ndarray, part: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(keys), 100_000):
-        cut = slice(at, at + 100_000)
-        yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(keys[cut].view(np.int64)), pa.array(n[cut])], names=["part", "key", "n"])
+    return _texts(docs).mapInArrow(count, "part int, key bigint, n bigint")
 
 
 def merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +205,8 @@ def survivors(local: DataFrame, partitions: int, threshold: int = THRESHOLD) ->
                     summary.add(keys[given], n[given])
         yield from closed()
 
-    ordered = local.repartition(partitions, "part").sortWithinPartitions("part", F.col("key").isNotNull())
+    part = F.coalesce("part", F.pmod("key", F.lit(partitions)).cast("int"))
+    ordered = local.repartition(partitions, part).withColumn("part", part).sortWithinPartitions("part", F.col("key").isNotNull())
     return ordered.mapInArrow(summarise, "key bigint")
 
 
@@ -223,10 +235,17 @@ def _filter_places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [((x >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64) for x in (keys, again, _mixed(again + _ODD))]
 
 
+def passed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys the filter lets pass: all that it was built from, and few others."""
+    out = np.ones(len(keys), bool)
+    for place in _filter_places(keys, 8 * len(bits)):
+        out &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    return out
+
+
 def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> DataFrame:
     """Occurrences, per task, of all phrases the filter lets pass: lang, phrase, size, n; the phrase null for all words of a language."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
-    n_bits = 8 * len(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
@@ -253,10 +272,7 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
                 name = name[:len(chunk.ids) - n + 1] * np.int64(len(number)) + chunk.ids[n - 1:]
                 if n < longest:
                     _, name = np.unique(name, return_inverse=True)
-                passed = np.ones(len(h), bool)
-                for place in _filter_places(h, n_bits):
-                    passed &= (filled[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                at = at[passed]
+                at = at[passed(filled, h)]
                 _, first, many = np.unique(name[at], return_index=True, return_counts=True)
                 for i, times in zip(at[first].tolist(), many.tolist()):
                     key = (spoken[chunk.lang[i]], b" ".join(chunk.words[i:i + n]))
@@ -269,19 +285,23 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
             yield pa.RecordBatch.from_arrays([pa.array(list(words)), pa.nulls(len(words), pa.string()), pa.nulls(len(words), pa.int32()), pa.array(list(words.values()), pa.int64())],
                                              names=["lang", "phrase", "size", "n"])
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        count, "lang string, phrase string, size int, n bigint")
+    return _texts(docs).mapInArrow(count, "lang string, phrase string, size int, n bigint")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, counters: int = COUNTERS) -> DataFrame:
     """lang, phrase, size, n of all phrases with ``threshold`` occurrences or more, and of all words per language (phrase null)."""
     spark = docs.sparkSession
-    # a phrase begins at a word, and a word takes two bytes with what parts it from the next
+    # a phrase begins at a word, and a word takes two bytes with what parts it from the next; a pass looks at two lengths
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-longest * (size // 2 + 1) // (threshold * counters)))
-    found = new_folder(spark, "survivors")
-    survivors(local_counts(docs, partitions, longest), partitions, threshold).write.parquet(found)
-    counted = exact_counts(docs, filter_bits(spark.read.parquet(found)), longest)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * (size // 2 + 1) // (threshold * counters)))
+    short, long = new_folder(spark, "survivors"), new_folder(spark, "survivors")
+    survivors(local_counts(docs, partitions, (1, 2)), partitions, threshold).write.parquet(short)
+    found = spark.read.parquet(short)
+    bits = filter_bits(found)
+    if longest > 2:
+        survivors(local_counts(docs, partitions, tuple(range(3, longest + 1)), bits), partitions, threshold).write.parquet(long)
+        bits = filter_bits(found.unionByName(spark.read.parquet(long)))
+    counted = exact_counts(docs, bits, longest)
     totals = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return stored(totals.filter(F.col("phrase").isNull() | (F.col("n") >= threshold)))
 
