@@ -5,8 +5,9 @@ phrases they hold and send them to hash partitions: words and pairs first, then
 survived, as no phrase is more frequent than a pair in it.  A partition's summary keeps as many counters as its mass (all
 occurrences in it) divided by the threshold, plus one; when more arrive, the largest counter beyond the capacity is taken
 off all of them.  What was taken off in all bounds the error of every counter, and mass / (capacity + 1) bounds that below
-the threshold: a phrase that reaches the threshold always survives.  Second pass: tasks count the survivors in all texts
-again, now by their words, so neither a collision of hashes nor a false positive of the filter can change a count.
+the threshold: a phrase that reaches the threshold always survives.  Last pass: tasks count the survivors in all texts again,
+by their words: a task tells phrases apart by two independent hashes of 64 bits, all else adds up by the phrases themselves,
+so neither a collision in the summaries nor a false positive of the filter changes a count.
 
 Defined results: null texts count as empty, null languages as ``und``; empty texts, and texts without a word, add nothing;
 repeated rows count each; an empty table gives no rows; only lang and text are read, other columns may have any names; long
@@ -15,6 +16,7 @@ texts are cut at piece ends alone, so a single piece must fit a task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,11 @@ SCALE = 2_000_000
 COVER = 80                 # percent of a phrase's occurrences that a longer one must have to replace it
 FIRST = 2_000              # phrases per language that are returned
 COUNTERS = 1_000_000       # counters a hash partition may need, from which the number of partitions follows
-WORDS_AT_ONCE = 400_000    # words whose phrases are counted together
-HELD = 3_000_000           # distinct hashes a task holds before it sends them
+CHUNK_BYTES = 1 << 21      # text whose phrases are counted together
+ROWS_AT_ONCE = 500         # documents taken out of a batch together
+HELD = 1_000_000           # distinct hashes, or phrases, a task holds before it sends them
 FILTER_BITS = 1 << 28      # most bits of the survivors' filter; more survivors only make it let more pass
+LONG_WORD = 64             # bytes; longer words are hashed one by one
 
 # a fixed table of bytes: A-Z lowered, what ends a piece as line feed, tab as space
 _BYTES = bytearray(range(256))
@@ -43,54 +47,113 @@ for _c in b".,;:!?\x0a\x0b\x0c\x0d":
 _BYTES[0x09] = 0x20
 _BYTES = bytes(_BYTES)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_END = re.compile(rb"[.,;:!?\x0a-\x0d]")
 
 
-class Chunk:
-    """The words of some documents in one sequence: word numbers, 0 where a piece ends, and the language of each place."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    if n:
+        out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Hasher:
+    """Two 64-bit numbers per word, from sums over its bytes: byte value times a power of the place, brought back to place 0."""
 
-    def __init__(self, words: list[bytes], number: dict[bytes, int], lang: np.ndarray):
-        self.words, self.lang = words, lang
-        self.ids = np.fromiter([number.setdefault(w, len(number)) for w in words], np.int64, len(words))
-        # the words from a place on to the end of its piece
-        ends = np.flatnonzero(self.ids == 0)
-        self.left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(self.ids))
+    BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)        # odd, so that they have inverses
 
-    def places(self, n: int) -> np.ndarray:
-        return np.flatnonzero(self.left >= n)
+    def __init__(self):
+        rng = np.random.default_rng(13)
+        self.values = [rng.integers(1, 1 << 63, 256, dtype=np.uint64) for _ in self.BASES]
+        self.up: list[np.ndarray] = []
+        self.down: list[np.ndarray] = []
 
+    def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        if not self.up or len(self.up[0]) < len(data):
+            self.up = [_powers(b, len(data)) for b in self.BASES]
+            self.down = [_powers(pow(b, -1, 1 << 64), len(data)) for b in self.BASES]
+        out = []
+        for values, up, down in zip(self.values, self.up, self.down):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(values[data] * up[:len(data)], out=sums[1:])
+            out.append(_mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)))
+        long = np.flatnonzero(end - start > LONG_WORD)
+        if len(long):
+            import xxhash
 
-def chunks(batches: Iterator[pa.RecordBatch], names: dict[str, int], words_at_once: int = WORDS_AT_ONCE) -> Iterator[tuple[Chunk, dict[bytes, int]]]:
-    """Whole documents together up to about ``words_at_once`` words; longer ones in parts that end with a piece."""
-    words: list[bytes] = []
-    spans: list[tuple[int, int]] = []
+            raw = data.tobytes()
+            for seed, own in enumerate(out):
+                own[long] = [xxhash.xxh64_intdigest(raw[start[i]:end[i]], seed) for i in long.tolist()]
+        return out
 
-    def done() -> tuple[Chunk, dict[bytes, int]]:
-        number = {b"\n": 0}
-        return Chunk(words, number, np.repeat([s[0] for s in spans], [s[1] for s in spans]).astype(np.int64)), number
 
+class Chunk:
+    """The words of some documents: where they are, how many follow in their piece, their language and their hashes."""
+
+    def __init__(self, texts: list[bytes], langs: list[int], hasher: Hasher):
+        self.raw = (b"\n".join(texts) + b"\n").translate(_BYTES)
+        data = np.frombuffer(self.raw, np.uint8)
+        breaks = data == 0x0A
+        word = ~(breaks | (data == 0x20))
+        before = np.concatenate([[False], word[:-1]])
+        self.start, self.end = np.flatnonzero(word & ~before), np.flatnonzero(before & ~word)
+        piece = np.cumsum(breaks)[self.start]
+        last = np.flatnonzero(np.append(piece[1:] != piece[:-1], True)) if len(piece) else np.zeros(0, np.int64)
+        self.left = np.repeat(last + 1, np.diff(last, prepend=-1)) - np.arange(len(piece))
+        size = np.array([len(t) + 1 for t in texts], np.int64)
+        self.lang = np.array(langs, np.int64)[np.searchsorted(np.cumsum(size), self.start, side="right")]
+        self.hashes = hasher.words(data, self.start, self.end)
+
+    def phrases(self, longest: int, seeds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per length: the places where a phrase of it starts, and both hashes of its language and words."""
+        both = [seeds[self.lang], _mixed(seeds[self.lang])]
+        for n in range(1, longest + 1):
+            both = [_mixed(h[:max(0, len(self.start) - n + 1)] * _ODD + own[n - 1:]) for h, own in zip(both, self.hashes)]
+            at = np.flatnonzero(self.left >= n)
+            yield n, at, both[0][at], both[1][at]
+
+    def phrase(self, at: int, n: int) -> bytes:
+        return b" ".join([self.raw[s:e] for s, e in zip(self.start[at:at + n].tolist(), self.end[at:at + n].tolist())])
+
+
+class Languages:
+    """Numbers of the languages a task has met."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+
+    def of(self, lang: str) -> int:
+        return self.number.setdefault(lang, len(self.number))
+
+    def seeds(self) -> np.ndarray:
+        import xxhash
+
+        return np.array([xxhash.xxh64_intdigest(name, 7) for name in self.number], np.uint64)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], languages: Languages, at_once: int | None = None) -> Iterator[Chunk]:
+    """Whole documents together up to about ``at_once`` bytes; longer ones in parts that end with a piece."""
+    at_once, hasher = at_once or CHUNK_BYTES, Hasher()
+    texts: list[bytes] = []
+    langs: list[int] = []
+    held = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
-            own = [w for w in text.translate(_BYTES).replace(b"\n", b" \n ").split(b" ") if w]
-            own.append(b"\n")
-            own_lang, at = names.setdefault(lang, len(names)), 0
-            while at < len(own):
-                to = len(own)
-                if to - at > words_at_once:
-                    to = own.index(b"\n", at + words_at_once - 1) + 1
-                words += own[at:to]
-                spans.append((own_lang, to - at))
-                at = to
-                if len(words) >= words_at_once:
-                    yield done()
-                    words, spans = [], []
-    if words:
-        yield done()
-
-
-def _word_hashes(number: dict[bytes, int]) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in number), np.uint64, len(number))
+        for row in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(row, ROWS_AT_ONCE)
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").cast(pa.large_binary()).to_pylist()):
+                own, at = languages.of(lang), 0
+                while at < len(text):
+                    to = len(text)
+                    if to - at > at_once:
+                        cut = _END.search(text, at + at_once)
+                        to = cut.end() if cut else to
+                    texts.append(text[at:to]), langs.append(own)
+                    held, at = held + to - at, to
+                    if held >= at_once:
+                        yield Chunk(texts, langs, hasher)
+                        texts, langs, held = [], [], 0
+    if texts:
+        yield Chunk(texts, langs, hasher)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -98,17 +161,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def phrase_hashes(chunk: Chunk, number: dict[bytes, int], names: dict[str, int], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per length: the places where a phrase of it starts and the hashes of language and words."""
-    own = _word_hashes(number)[chunk.ids]
-    h = _word_hashes({name.encode(): 0 for name in names})[chunk.lang]
-    for n in range(1, longest + 1):
-        h = h[:len(own) - n + 1] if n > 1 else h
-        h = _mixed(h * _ODD + own[n - 1:])
-        at = chunk.places(n)
-        yield n, at, h[at]
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -121,7 +173,7 @@ def local_counts(docs: DataFrame, partitions: int, lengths: tuple[int, ...], pai
     shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[str, int] = {}
+        languages = Languages()
         keys, n, mass = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(partitions, np.int64)
 
         def sent() -> Iterator[pa.RecordBatch]:
@@ -129,9 +181,9 @@ def local_counts(docs: DataFrame, partitions: int, lengths: tuple[int, ...], pai
                 own = keys[at:at + 100_000].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int32()), pa.array(own), pa.array(n[at:at + 100_000])], names=["part", "key", "n"])
 
-        for chunk, number in chunks(batches, names):
-            found, fine = [np.zeros(0, np.uint64)], np.zeros(len(chunk.ids) + LONGEST, bool)
-            for size, at, h in phrase_hashes(chunk, number, names, max(lengths)):
+        for chunk in chunks(batches, languages):
+            found, fine = [np.zeros(0, np.uint64)], np.zeros(len(chunk.start) + LONGEST, bool)
+            for size, at, h, _ in chunk.phrases(max(lengths), languages.seeds()):
                 if size == 2 and shared is not None:
                     fine[at] = passed(shared.value, h)
                 if size in lengths:
@@ -248,42 +300,41 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[str, int] = {}
-        filled = held.value
-        total: dict[tuple[str, bytes], int] = {}
-        words: dict[str, int] = {}
+        languages, filled = Languages(), held.value
+        known: dict[tuple[int, int], int] = {}
+        rows: list[tuple[int, bytes, int]] = []
+        total: list[int] = []
+        words = np.zeros(0, np.int64)
 
         def sent() -> Iterator[pa.RecordBatch]:
-            rows = list(total)
+            names = list(languages.number)
             for at in range(0, len(rows), 50_000):
                 part = rows[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in part]), pa.array([r[1] for r in part], pa.binary()).cast(pa.string()), pa.array([1 + r[1].count(b" ") for r in part], pa.int32()),
-                     pa.array([total[r] for r in part], pa.int64())], names=["lang", "phrase", "size", "n"])
-
-        for chunk, number in chunks(batches, names):
-            spoken = list(names)
-            for lang, many in enumerate(np.bincount(chunk.lang[chunk.ids > 0], minlength=len(spoken)).tolist()):
-                if many:
-                    words[spoken[lang]] = words.get(spoken[lang], 0) + many
-            # exact names of phrases: the number of (the phrase before its last word, the last word), language first
-            name = chunk.lang
-            for n, at, h in phrase_hashes(chunk, number, names, longest):
-                name = name[:len(chunk.ids) - n + 1] * np.int64(len(number)) + chunk.ids[n - 1:]
-                if n < longest:
-                    _, name = np.unique(name, return_inverse=True)
-                at = at[passed(filled, h)]
-                _, first, many = np.unique(name[at], return_index=True, return_counts=True)
-                for i, times in zip(at[first].tolist(), many.tolist()):
-                    key = (spoken[chunk.lang[i]], b" ".join(chunk.words[i:i + n]))
-                    total[key] = total.get(key, 0) + times
-            if len(total) > HELD // 4:
+                    [pa.array([names[r[0]] for r in part]), pa.array([r[1] for r in part], pa.binary()).cast(pa.string()), pa.array([r[2] for r in part], pa.int32()),
+                     pa.array(total[at:at + 50_000], pa.int64())], names=["lang", "phrase", "size", "n"])
+
+        for chunk in chunks(batches, languages):
+            many = np.bincount(chunk.lang, minlength=len(languages.number))
+            words = np.append(words, np.zeros(len(many) - len(words), np.int64)) + many
+            for n, at, h, second in chunk.phrases(longest, languages.seeds()):
+                kept = np.flatnonzero(passed(filled, h))
+                order = kept[np.argsort(h[kept])]
+                one, two = h[order], second[order]
+                first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) if len(order) else np.zeros(0, np.int64)
+                for place, key, again, times in zip(at[order[first]].tolist(), one[first].tolist(), two[first].tolist(), np.diff(np.append(first, len(order))).tolist()):
+                    row = known.setdefault((key, again), len(rows))
+                    if row == len(rows):
+                        rows.append((int(chunk.lang[place]), chunk.phrase(place, n), n)), total.append(0)
+                    total[row] += times
+            if len(rows) > HELD // 4:
                 yield from sent()
-                total = {}
+                known, rows, total = {}, [], []
         yield from sent()
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(list(words)), pa.nulls(len(words), pa.string()), pa.nulls(len(words), pa.int32()), pa.array(list(words.values()), pa.int64())],
-                                             names=["lang", "phrase", "size", "n"])
+        spoken = np.flatnonzero(words)
+        names = list(languages.number)
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in spoken], pa.string()), pa.nulls(len(spoken), pa.string()), pa.nulls(len(spoken), pa.int32()), pa.array(words[spoken])],
+                                         names=["lang", "phrase", "size", "n"])
 
     return _texts(docs).mapInArrow(count, "lang string, phrase string, size int, n bigint")
 

@@ -54,7 +54,7 @@ def found(df, **settings):
 
 def test_awkward_texts(spark, monkeypatch):
     rng = random.Random(5)
-    words = ["a", "B", "b", "é", "É", "x\x1fy", "don't", "\x00", "of", "the"]
+    words = ["a", "B", "b", "é", "É", "x\x1fy", "q" * 70 + "r", "q" * 70 + "s", "don't", "\x00", "of", "the"]
     rows = [(i, " ".join(rng.choice(words) + rng.choice(["", "", "", ".", ",\t", "\n", "  ", ";;"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", "fr", None, "und"]))
             for i in range(150)] + [(1, None, "en"), (2, "", None), (3, " .,\n ", "de"), (4, "a b c d " * 400, "es"), (4, "a b c d " * 400, "es"), (None, "In The ZONE " * 50, "en")]
     df = spark.createDataFrame(rows, DOCS)
@@ -62,7 +62,7 @@ def test_awkward_texts(spark, monkeypatch):
         assert found(df, threshold=threshold) == plain(rows, threshold)
     assert found(df, threshold=3, first=4) == plain(rows, 3, 4)
     clash = df.withColumns({c: F.lit(1) for c in ("phrase", "n", "a", "key", "part", "size", "words", "rank")})
-    monkeypatch.setattr(collocations.chunks, "__defaults__", (7,))
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 90)
     assert found(clash.repartition(3), threshold=3) == plain(rows, 3)
     assert found(df.limit(0)) == [] and found(df.filter("text is null or text = ''")) == []
 
