@@ -32,9 +32,11 @@ SCALE = 2_000_000
 COVER = 80                 # percent of a phrase's occurrences that a longer one must have to replace it
 FIRST = 2_000              # phrases per language that are returned
 COUNTERS = 1_000_000       # counters a hash partition may need, from which the number of partitions follows
-CHUNK_BYTES = 1 << 21      # text whose phrases are counted together
+CHUNK_BYTES = 1 << 20      # text whose phrases are counted together
 ROWS_AT_ONCE = 500         # documents taken out of a batch together
-HELD = 1_000_000           # distinct hashes, or phrases, a task holds before it sends them
+HELD = 1_500_000           # distinct hashes a task holds before it sends them
+PHRASES = 200_000          # and phrases
+PARTS = 4                  # hash partitions with a summary of their own, per task
 FILTER_BITS = 1 << 28      # most bits of the survivors' filter; more survivors only make it let more pass
 LONG_WORD = 64             # bytes; longer words are hashed one by one
 
@@ -165,40 +167,55 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def local_counts(docs: DataFrame, partitions: int, lengths: tuple[int, ...], pairs: np.ndarray | None = None, held_most: int = HELD) -> DataFrame:
-    """What tasks counted of phrases of the given lengths: key and n; rows with a part carry the mass of that part.
+def _hashed(batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...], pairs: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The hashes of all phrases of the given lengths, chunk by chunk; with a filter, of those whose pairs all pass it."""
+    languages = Languages()
+    for chunk in chunks(batches, languages):
+        found, fine = [np.zeros(0, np.uint64)], np.zeros(len(chunk.start) + LONGEST, bool)
+        for size, at, h, _ in chunk.phrases(max(lengths), languages.seeds()):
+            if size == 2 and pairs is not None:
+                fine[at] = passed(pairs, h)
+            if size in lengths:
+                found.append(h if pairs is None else h[np.logical_and.reduce([fine[at + k] for k in range(size - 1)])])
+        yield np.concatenate(found)
 
-    With a filter of ``pairs``, only phrases whose pairs all pass it are counted.
-    """
-    shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
+
+def masses(docs: DataFrame, parts: int, lengths: tuple[int, ...], pairs: np.ndarray | None = None) -> np.ndarray:
+    """Occurrences that each hash partition will be sent."""
+    shared = docs.sparkSession.sparkContext.broadcast(pairs)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass = np.zeros(parts, np.int64)
+        for h in _hashed(batches, lengths, shared.value):
+            mass += np.bincount(h.view(np.int64) % parts, minlength=parts)
+        used = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(mass[used])], names=["part", "n"])
+
+    out = np.zeros(parts, np.int64)
+    for r in _texts(docs).mapInArrow(count, "part int, n bigint").groupBy("part").agg(F.sum("n").alias("n")).collect():
+        out[r["part"]] = r["n"]
+    return out
+
+
+def local_counts(docs: DataFrame, lengths: tuple[int, ...], pairs: np.ndarray | None = None, held_most: int | None = None) -> DataFrame:
+    """What tasks counted of phrases of the given lengths: key and n."""
+    shared, held_most = docs.sparkSession.sparkContext.broadcast(pairs), held_most or HELD
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages = Languages()
-        keys, n, mass = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(partitions, np.int64)
+        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def sent() -> Iterator[pa.RecordBatch]:
             for at in range(0, len(keys), 100_000):
-                own = keys[at:at + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int32()), pa.array(own), pa.array(n[at:at + 100_000])], names=["part", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 100_000].view(np.int64)), pa.array(n[at:at + 100_000])], names=["key", "n"])
 
-        for chunk in chunks(batches, languages):
-            found, fine = [np.zeros(0, np.uint64)], np.zeros(len(chunk.start) + LONGEST, bool)
-            for size, at, h, _ in chunk.phrases(max(lengths), languages.seeds()):
-                if size == 2 and shared is not None:
-                    fine[at] = passed(shared.value, h)
-                if size in lengths:
-                    found.append(h if shared is None else h[np.logical_and.reduce([fine[at + k] for k in range(size - 1)])])
-            new, many = np.unique(np.concatenate(found), return_counts=True)
-            mass += np.bincount(new.view(np.int64) % partitions, many, partitions).astype(np.int64)
-            keys, n = merged(keys, n, new, many)
+        for h in _hashed(batches, lengths, shared.value):
+            keys, n = merged(keys, n, *np.unique(h, return_counts=True))
             if len(keys) > held_most:
                 yield from sent()
                 keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         yield from sent()
-        parts = np.flatnonzero(mass)
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.nulls(len(parts), pa.int64()), pa.array(mass[parts])], names=["part", "key", "n"])
 
-    return _texts(docs).mapInArrow(count, "part int, key bigint, n bigint")
+    return _texts(docs).mapInArrow(count, "key bigint, n bigint")
 
 
 def merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,36 +247,24 @@ class Summary:
         return self.keys[self.n + self.error >= threshold]
 
 
-def survivors(local: DataFrame, partitions: int, threshold: int = THRESHOLD) -> DataFrame:
-    """Hashes (``key``) that reach the threshold for all the summaries know; a part's mass comes before its counters."""
+def survivors(local: DataFrame, mass: np.ndarray, partitions: int, threshold: int = THRESHOLD) -> DataFrame:
+    """Hashes (``key``) that reach the threshold for all the summaries know; ``mass`` has the occurrences of each hash partition."""
+    parts = len(mass)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, mass, summary = None, 0, None
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            if summary is not None:
-                found = summary.reaching(threshold).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found)], names=["key"])
-
+        held: dict[int, Summary] = {}
         for batch in batches:
-            own, empty = batch.column("part").to_numpy(), batch.column("key").is_null().to_numpy(zero_copy_only=False)
-            n = batch.column("n").to_numpy()
-            keys = batch.column("key").fill_null(0).to_numpy().view(np.uint64)
-            bounds = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(own)) if len(own) else [0]
-            for s, e in zip(bounds[:-1], bounds[1:]):
-                if own[s] != part:
-                    yield from closed()
-                    part, mass, summary = own[s], 0, None
-                mass += int(n[s:e][empty[s:e]].sum())
-                given = np.flatnonzero(~empty[s:e]) + s
-                if len(given):
-                    summary = summary or Summary(mass // threshold + 1)
-                    summary.add(keys[given], n[given])
-        yield from closed()
-
-    part = F.coalesce("part", F.pmod("key", F.lit(partitions)).cast("int"))
-    ordered = local.repartition(partitions, part).withColumn("part", part).sortWithinPartitions("part", F.col("key").isNotNull())
-    return ordered.mapInArrow(summarise, "key bigint")
+            keys, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
+            part = keys % parts
+            for p in np.unique(part).tolist():
+                own = part == p
+                if p not in held:
+                    held[p] = Summary(int(mass[p]) // threshold + 1)
+                held[p].add(keys[own].view(np.uint64), n[own])
+        for summary in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(summary.reaching(threshold).view(np.int64))], names=["key"])
+
+    return local.repartition(partitions, F.pmod("key", F.lit(parts))).mapInArrow(summarise, "key bigint")
 
 
 def filter_bits(keys: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
@@ -327,7 +332,7 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
                     if row == len(rows):
                         rows.append((int(chunk.lang[place]), chunk.phrase(place, n), n)), total.append(0)
                     total[row] += times
-            if len(rows) > HELD // 4:
+            if len(rows) > PHRASES:
                 yield from sent()
                 known, rows, total = {}, [], []
         yield from sent()
@@ -345,13 +350,13 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     # a phrase begins at a word, and a word takes two bytes with what parts it from the next; a pass looks at two lengths
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * (size // 2 + 1) // (threshold * counters)))
-    short, long = new_folder(spark, "survivors"), new_folder(spark, "survivors")
-    survivors(local_counts(docs, partitions, (1, 2)), partitions, threshold).write.parquet(short)
-    found = spark.read.parquet(short)
-    bits = filter_bits(found)
-    if longest > 2:
-        survivors(local_counts(docs, partitions, tuple(range(3, longest + 1)), bits), partitions, threshold).write.parquet(long)
-        bits = filter_bits(found.unionByName(spark.read.parquet(long)))
+    parts, bits, paths = PARTS * partitions, None, []
+    for lengths in [(1, 2), tuple(range(3, longest + 1))]:
+        if lengths:
+            mass = masses(docs, parts, lengths, bits)
+            paths.append(new_folder(spark, "survivors"))
+            survivors(local_counts(docs, lengths, bits), mass, partitions, threshold).write.parquet(paths[-1])
+            bits = filter_bits(spark.read.parquet(*paths))
     counted = exact_counts(docs, bits, longest)
     totals = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return stored(totals.filter(F.col("phrase").isNull() | (F.col("n") >= threshold)))

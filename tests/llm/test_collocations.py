@@ -86,7 +86,9 @@ def test_survivors_in_many_partitions(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(f"w{min(int(rng.expovariate(0.02)), 300)}" for _ in range(80)), "en") for i in range(200)]
     df = spark.createDataFrame(rows, DOCS).repartition(5)
-    local = collocations.local_counts(df, 7, (1, 2, 3), held_most=500)
-    want = {r["key"] for r in local.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 30").collect()}
-    assert want and want <= {r["key"] for r in collocations.survivors(local, 7, 30).collect()}
+    lengths = (1, 2, 3)
+    local, mass = collocations.local_counts(df, lengths, held_most=500), collocations.masses(df, 7, lengths)
+    assert mass.sum() == 200 * (80 + 79 + 78) == local.agg(F.sum("n")).first()[0]
+    want = {r["key"] for r in local.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 30").collect()}
+    assert want and want <= {r["key"] for r in collocations.survivors(local, mass, 3, 30).collect()}
     assert found(df, counters=10) == plain(rows, 30)
