@@ -3,7 +3,7 @@
 Words are read piece by piece, phrases of one to four words never cross a piece.  First pass: tasks count the hashes of all
 phrases they hold and send them to hash partitions: words and pairs first, then those longer phrases whose pairs have all
 survived, as no phrase is more frequent than a pair in it.  A partition's summary keeps as many counters as its mass (all
-occurrences in it) divided by the threshold, plus one; when more arrive, the largest counter beyond the capacity is taken
+occurrences in it) divided by the threshold, some times over; when more arrive, the largest counter beyond the capacity is taken
 off all of them.  What was taken off in all bounds the error of every counter, and mass / (capacity + 1) bounds that below
 the threshold: a phrase that reaches the threshold always survives.  Last pass: tasks count the survivors in all texts again,
 by their words: a task tells phrases apart by two independent hashes of 64 bits, all else adds up by the phrases themselves,
@@ -35,7 +35,8 @@ COUNTERS = 1_000_000       # counters a hash partition may need, from which the
 CHUNK_BYTES = 1 << 20      # text whose phrases are counted together
 ROWS_AT_ONCE = 500         # documents taken out of a batch together
 HELD = 1_500_000           # distinct hashes a task holds before it sends them
-PHRASES = 200_000          # and phrases
+PHRASES = 600_000          # and phrases
+SPARE = 4                  # counters of a summary, in multiples of its mass by the threshold: the more, the fewer rare phrases survive
 PARTS = 4                  # hash partitions with a summary of their own, per task
 FILTER_BITS = 1 << 28      # most bits of the survivors' filter; more survivors only make it let more pass
 LONG_WORD = 64             # bytes; longer words are hashed one by one
@@ -259,7 +260,7 @@ def survivors(local: DataFrame, mass: np.ndarray, partitions: int, threshold: in
             for p in np.unique(part).tolist():
                 own = part == p
                 if p not in held:
-                    held[p] = Summary(int(mass[p]) // threshold + 1)
+                    held[p] = Summary(SPARE * int(mass[p]) // threshold + 1)
                 held[p].add(keys[own].view(np.uint64), n[own])
         for summary in held.values():
             yield pa.RecordBatch.from_arrays([pa.array(summary.reaching(threshold).view(np.int64))], names=["key"])
@@ -306,8 +307,9 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, filled = Languages(), held.value
-        known: dict[tuple[int, int], int] = {}
+        known: dict[int, int] = {}
         rows: list[tuple[int, bytes, int]] = []
+        second_of: list[int] = []
         total: list[int] = []
         words = np.zeros(0, np.int64)
 
@@ -328,13 +330,14 @@ def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> D
                 one, two = h[order], second[order]
                 first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) if len(order) else np.zeros(0, np.int64)
                 for place, key, again, times in zip(at[order[first]].tolist(), one[first].tolist(), two[first].tolist(), np.diff(np.append(first, len(order))).tolist()):
-                    row = known.setdefault((key, again), len(rows))
-                    if row == len(rows):
-                        rows.append((int(chunk.lang[place]), chunk.phrase(place, n), n)), total.append(0)
+                    row = known.setdefault(key, len(rows))
+                    if row == len(rows) or second_of[row] != again:      # of two phrases with one first hash, the later one gets rows of its own
+                        row = len(rows)
+                        rows.append((int(chunk.lang[place]), chunk.phrase(place, n), n)), total.append(0), second_of.append(again)
                     total[row] += times
             if len(rows) > PHRASES:
                 yield from sent()
-                known, rows, total = {}, [], []
+                known, rows, second_of, total = {}, [], [], []
         yield from sent()
         spoken = np.flatnonzero(words)
         names = list(languages.number)
@@ -349,7 +352,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     spark = docs.sparkSession
     # a phrase begins at a word, and a word takes two bytes with what parts it from the next; a pass looks at two lengths
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * (size // 2 + 1) // (threshold * counters)))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * SPARE * (size // 2 + 1) // (threshold * counters)))
     parts, bits, paths = PARTS * partitions, None, []
     for lengths in [(1, 2), tuple(range(3, longest + 1))]:
         if lengths:
