@@ -1 +1 @@
-"""DataFrame operators on loan tables."""
+"""Operators on loan tables."""

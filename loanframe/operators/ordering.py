@@ -15,7 +15,7 @@ import sys
 import tempfile
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +27,11 @@ ROWS_PER_RANGE = 1_000_000
 SMALL_TABLE = 200_000    # rows up to which a lookup table is broadcast
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the checkpoint folder that the session names in ``spark.checkpoint.dir``.
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Checkpoints go to the folder that the session names in ``spark.checkpoint.dir``.
 
     A session on one machine that names none, as in tests, gets a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +39,11 @@ def durable(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = folder or tempfile.mkdtemp(prefix="loanframe-checkpoint-")
         context.setCheckpointDir(folder)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts the lineage through the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
@@ -13,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanframe.functions.fields import quoted
+from loanframe.operators.blocks import make_blocks
+from loanframe.operators.forest import Forest, fit_forest
 from loanframe.operators.weighting import balanced_weights, weight_column
-from loanframe.sources.tables import align_columns
 
 VECTOR = "__features"
 
@@ -64,18 +64,16 @@ def correlated_columns(pairs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def forest_importance(
-    df: DataFrame, columns: list[str], label: str, n_trees: int = 200, max_depth: int = 10, seed: int = 42,
+    df: DataFrame, columns: list[str], label: str, n_trees: int = 200, max_depth: int | None = None, seed: int = 42,
 ) -> list[tuple[str, float]]:
     """Features from most to least important for a class-balanced forest."""
     weights = balanced_weights(df, label)
     classes = sorted(weights)
     order = F.array_position(F.array(*[F.lit(c) for c in classes]), quoted(label).cast("int")) - 1
-    rows = assembled(df, columns).select(VECTOR, order.cast("double").alias("y"), weight_column(label, weights).alias("w"))
-    forest = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol="y", weightCol="w", numTrees=n_trees, maxDepth=max_depth, seed=seed
-    ).fit(rows)
-    scores = forest.featureImportances.toArray()
-    return sorted(zip(columns, map(float, scores)), key=lambda p: (-p[1], p[0]))
+    blocks = make_blocks(df, columns, order)
+    forest = fit_forest(blocks, columns, Forest(len(classes), n_trees, max_depth, class_weights=[weights[c] for c in classes], seed=seed))
+    blocks.release()
+    return sorted(zip(columns, forest.importance().tolist()), key=lambda p: (-p[1], p[0]))
 
 
 class FeatureSelector(Estimator):
@@ -83,7 +81,7 @@ class FeatureSelector(Estimator):
 
     def __init__(
         self, inputs: list[str], label: str, min_variance: float = 0.01, max_correlation: float = 0.8,
-        top_k: int = 50, n_trees: int = 200, max_depth: int = 10, pca_share: float | None = None, seed: int = 42,
+        top_k: int = 50, n_trees: int = 200, max_depth: int | None = None, pca_share: float | None = None, seed: int = 42,
     ):
         super().__init__()
         self.inputs, self.label = inputs, label
@@ -131,10 +129,6 @@ class FeatureSelectorModel(Model):
     def importance(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.chosen, "feature string, importance double")
 
-    def explained(self, spark: SparkSession) -> DataFrame:
-        shares = self.pca.explainedVariance.toArray()[: self.n_components]
-        return spark.createDataFrame([(n, float(s)) for n, s in zip(self.outputs, shares)], "component string, explained double")
-
     def _transform(self, df: DataFrame) -> DataFrame:
         names = [c for c, _ in self.chosen]
         absent = {c: F.lit(0.0) for c in names if c not in df.columns}
@@ -146,9 +140,6 @@ class FeatureSelectorModel(Model):
         parts = parts.withColumns({n: F.col("__a")[i] for i, n in enumerate(self.outputs)})
         return parts.drop("__a", "__components", "__centred", VECTOR)
 
-    def only_selected(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        return align_columns(self.transform(df), [*keep, *self.outputs])
-
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         meta = json.dumps({"chosen": self.chosen, "n_components": self.n_components, "pca": self.pca is not None}, ensure_ascii=False)

@@ -41,7 +41,7 @@ class FeatureTable:
 
 
 def prepare_features(
-    split: DataFrame, label: str = RISK, top_k: int = 50, n_trees: int = 200, max_depth: int = 10,
+    split: DataFrame, label: str = RISK, top_k: int = 50, n_trees: int = 200, max_depth: int | None = None,
     target: str = RISK, select_on: DataFrame | None = None,
 ) -> FeatureTable:
     """Fits preprocessing and selection on the training rows, applies both to all.
@@ -104,7 +104,7 @@ class TrainedChain:
 
 def train_chain(
     split: DataFrame, two_stage: bool = False, resample: bool = False, top_k: int | None = None,
-    n_trees: int | None = None, threshold: float = 0.9, tree_depth: int = 10, **params,
+    n_trees: int | None = None, threshold: float = 0.9, tree_depth: int | None = None, **params,
 ) -> TrainedChain:
     """Preprocess, optionally resample, select, classify, regress and evaluate.
 
