@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ COUNTERS = 1_000_000       # counters a hash partition may need, from which the
 CHUNK_BYTES = 1 << 20      # text whose phrases are counted together
 ROWS_AT_ONCE = 500         # documents taken out of a batch together
 HELD = 1_500_000           # distinct hashes a task holds before it sends them
-PHRASES = 600_000          # and phrases
+PHRASES = 1_000_000        # and phrases
+RECENT = 50_000            # phrases that are looked up one by one before they join the sorted ones
 SPARE = 4                  # counters of a summary, in multiples of its mass by the threshold: the more, the fewer rare phrases survive
 PARTS = 4                  # hash partitions with a summary of their own, per task
 FILTER_BITS = 1 << 28      # most bits of the survivors' filter; more survivors only make it let more pass
@@ -301,50 +303,97 @@ def passed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def exact_counts(docs: DataFrame, bits: np.ndarray, longest: int = LONGEST) -> DataFrame:
-    """Occurrences, per task, of all phrases the filter lets pass: lang, phrase, size, n; the phrase null for all words of a language."""
+class Counter:
+    """Phrases of a task with their counts: two hashes tell them apart."""
+
+    def __init__(self):
+        self.phrases: list[bytes] = []
+        self.sizes: list[int] = []
+        self.langs: list[int] = []
+        self.hashes: list[tuple[int, int]] = []
+        self.n = np.zeros(0, np.int64)
+        self.recent: dict[tuple[int, int], int] = {}
+        self.one = self.two = np.zeros(0, np.uint64)      # hashes of the phrases of ``place``, sorted by the first
+        self.place = np.zeros(0, np.int64)
+
+    def add(self, chunk: Chunk, size: int, at: np.ndarray, one: np.ndarray, two: np.ndarray, times: np.ndarray) -> None:
+        """Adds distinct phrases; where two share their first hash, the later one is looked up one by one."""
+        where = np.minimum(np.searchsorted(self.one, one), max(0, len(self.one) - 1))
+        known = (self.one[where] == one) & (self.two[where] == two) if len(self.one) else np.zeros(len(one), bool)
+        self.n[self.place[where[known]]] += times[known]
+        new, counts, found = np.flatnonzero(~known), [], []
+        for place, key, many in zip(at[new].tolist(), zip(one[new].tolist(), two[new].tolist()), times[new].tolist()):
+            row = self.recent.setdefault(key, len(self.phrases))
+            if row == len(self.phrases):
+                self.phrases.append(chunk.phrase(place, size)), self.sizes.append(size), self.langs.append(int(chunk.lang[place])), self.hashes.append(key)
+            found.append(row), counts.append(many)
+        self.n = np.append(self.n, np.zeros(len(self.phrases) - len(self.n), np.int64))
+        np.add.at(self.n, found, counts)
+        if len(self.recent) > RECENT:
+            keys = np.array(list(self.recent), np.uint64).reshape(-1, 2)
+            both = np.concatenate([self.one, keys[:, 0]])
+            order = np.argsort(both, kind="stable")
+            self.one, self.two = both[order], np.concatenate([self.two, keys[:, 1]])[order]
+            self.place = np.concatenate([self.place, np.fromiter(self.recent.values(), np.int64, len(self.recent))])[order]
+            self.recent = {}
+
+    def packed(self, names: list[str], buckets: int) -> Iterator[pa.RecordBatch]:
+        """One row per bucket of the first hash, with lists of its phrases."""
+        first = np.array([h[0] for h in self.hashes], np.uint64)
+        bucket = (first % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        for at in range(0, len(order), 100_000):
+            own = order[at:at + 100_000]
+            starts = np.flatnonzero(np.append(True, np.diff(bucket[own]) != 0))
+            offsets = pa.array(np.append(starts, len(own)), pa.int32())
+            values = [pa.array(np.array(names, object)[np.array(self.langs)[own]], pa.string()), pa.array([self.phrases[i] for i in own.tolist()], pa.binary()).cast(pa.string()),
+                      pa.array(np.array(self.sizes, np.int32)[own]), pa.array(self.n[own])]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[own][starts]), *(pa.ListArray.from_arrays(offsets, v) for v in values)], names=["bucket", "lang", "phrase", "size", "n"])
+
+
+def exact_counts(docs: DataFrame, bits: np.ndarray, partitions: int, threshold: int = THRESHOLD, longest: int = LONGEST) -> DataFrame:
+    """lang, phrase, size, n of the phrases that reach the threshold, and of all words per language (phrase and size null).
+
+    Tasks send what they counted in lists by bucket of a hash; a bucket's lists are added up in one task.
+    """
     held = docs.sparkSession.sparkContext.broadcast(bits)
+    buckets = PARTS * partitions
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, filled = Languages(), held.value
-        known: dict[int, int] = {}
-        rows: list[tuple[int, bytes, int]] = []
-        second_of: list[int] = []
-        total: list[int] = []
+        languages, filled, counter = Languages(), held.value, Counter()
         words = np.zeros(0, np.int64)
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            names = list(languages.number)
-            for at in range(0, len(rows), 50_000):
-                part = rows[at:at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[r[0]] for r in part]), pa.array([r[1] for r in part], pa.binary()).cast(pa.string()), pa.array([r[2] for r in part], pa.int32()),
-                     pa.array(total[at:at + 50_000], pa.int64())], names=["lang", "phrase", "size", "n"])
-
         for chunk in chunks(batches, languages):
             many = np.bincount(chunk.lang, minlength=len(languages.number))
             words = np.append(words, np.zeros(len(many) - len(words), np.int64)) + many
-            for n, at, h, second in chunk.phrases(longest, languages.seeds()):
+            for size, at, h, second in chunk.phrases(longest, languages.seeds()):
                 kept = np.flatnonzero(passed(filled, h))
                 order = kept[np.argsort(h[kept])]
                 one, two = h[order], second[order]
                 first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) if len(order) else np.zeros(0, np.int64)
-                for place, key, again, times in zip(at[order[first]].tolist(), one[first].tolist(), two[first].tolist(), np.diff(np.append(first, len(order))).tolist()):
-                    row = known.setdefault(key, len(rows))
-                    if row == len(rows) or second_of[row] != again:      # of two phrases with one first hash, the later one gets rows of its own
-                        row = len(rows)
-                        rows.append((int(chunk.lang[place]), chunk.phrase(place, n), n)), total.append(0), second_of.append(again)
-                    total[row] += times
-            if len(rows) > PHRASES:
-                yield from sent()
-                known, rows, second_of, total = {}, [], [], []
-        yield from sent()
+                counter.add(chunk, size, at[order[first]], one[first], two[first], np.diff(np.append(first, len(order))))
+            if len(counter.phrases) > PHRASES:
+                yield from counter.packed(list(languages.number), buckets)
+                counter = Counter()
+        yield from counter.packed(list(languages.number), buckets)
         spoken = np.flatnonzero(words)
+        one_list = lambda values, kind: pa.array([values], pa.list_(kind))
         names = list(languages.number)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in spoken], pa.string()), pa.nulls(len(spoken), pa.string()), pa.nulls(len(spoken), pa.int32()), pa.array(words[spoken])],
-                                         names=["lang", "phrase", "size", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0], pa.int32()), one_list([names[i] for i in spoken], pa.string()), one_list([None] * len(spoken), pa.string()), one_list([None] * len(spoken), pa.int32()),
+             one_list(words[spoken], pa.int64())], names=["bucket", "lang", "phrase", "size", "n"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, names = None, ["lang", "phrase", "size", "n"]
+        for batch in batches:
+            own = pa.table({c: batch.column(c).flatten() for c in names})
+            both = own if total is None else pa.concat_tables([total, own])
+            total = both.group_by(["lang", "phrase", "size"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(names)
+        if total is not None:
+            reach = pc.or_(pc.is_null(total.column("phrase")), pc.greater_equal(total.column("n"), threshold))
+            yield from total.filter(reach).combine_chunks().to_batches()
 
-    return _texts(docs).mapInArrow(count, "lang string, phrase string, size int, n bigint")
+    sent = _texts(docs).mapInArrow(count, "bucket int, lang array<string>, phrase array<string>, size array<int>, n array<bigint>")
+    return sent.repartition(partitions, "bucket").mapInArrow(add_up, "lang string, phrase string, size int, n bigint")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, counters: int = COUNTERS) -> DataFrame:
@@ -360,9 +409,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
             paths.append(new_folder(spark, "survivors"))
             survivors(local_counts(docs, lengths, bits), mass, partitions, threshold).write.parquet(paths[-1])
             bits = filter_bits(spark.read.parquet(*paths))
-    counted = exact_counts(docs, bits, longest)
-    totals = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-    return stored(totals.filter(F.col("phrase").isNull() | (F.col("n") >= threshold)))
+    return stored(exact_counts(docs, bits, partitions, threshold, longest))
 
 
 def collocations(docs: DataFrame, first: int = FIRST, threshold: int = THRESHOLD, longest: int = LONGEST, cover: int = COVER, counters: int = COUNTERS) -> DataFrame:

@@ -93,6 +93,34 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield _whole(held, keys)
 
 
+def bounded_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[tuple[pa.Table, np.ndarray, bool]]:
+    """As ``sorted_groups``, but a group of more than ``most`` rows comes in pieces of its own, marked by the last value."""
+    held: list[pa.RecordBatch] = []
+    last, rows, big = None, 0, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = [*_changes(batch, keys).tolist(), batch.num_rows]
+        new = 0
+        if last is not None and _same(last, batch, keys):
+            new = 1
+            held.append(batch.slice(0, starts[1]))
+            rows += starts[1]
+            if big or rows > most:
+                yield *_whole(held, keys), True
+                held, rows, big = [], 0, True
+        if new < len(starts) - 1:
+            if held:
+                yield *_whole(held, keys), False
+            if starts[-2] > starts[new]:
+                yield *_whole([batch.slice(starts[new], starts[-2] - starts[new])], keys), False
+            held, big = [batch.slice(starts[-2])], False
+            rows = held[0].num_rows
+        last = batch
+    if held:
+        yield *_whole(held, keys), False
+
+
 def _whole(parts: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.ndarray]:
     done = pa.Table.from_batches([p for p in parts if p.num_rows]).combine_chunks()
     return done, np.append(_changes(done, keys), done.num_rows)

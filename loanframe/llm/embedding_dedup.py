@@ -11,8 +11,8 @@ original numbers to the bucket, where cosines are computed in double precision,
 several tables counts in the first; a bucket returns counts and the links of a spanning forest rather than its pairs,
 and very full buckets are dealt out as blocks of bounded size.  Equal vectors are one row throughout.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite numbers link with
-nothing; repeated rows link with each other like any equal vectors; a row without id gets the component of its vector
+Defined results: vectors that are null, zero, or hold null or non-finite numbers link with nothing; vectors of different
+lengths are compared with those of their own length; repeated rows link with each other like any equal vectors; a row without id gets the component of its vector
 and never names one; an empty table gives an empty one; other columns are not read.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanframe.llm.common import components, hash_share, sorted_groups, stored
+from loanframe.llm.common import bounded_groups, components, hash_share, sorted_groups, stored
 
 COSINE = 0.9
 RECALL = 0.9995        # expected, of pairs exactly at the threshold, at any number of vectors; closer pairs are found more surely
@@ -36,6 +36,7 @@ NUMBERS = 4_000_000    # and numbers in them
 LOAD = 16              # vectors expected in a bucket's own rows
 BLOCK = 4_096          # rows of a bucket that are compared at a time
 STEPS = 40             # of the iterative quantisation
+TABLE_SHIFT = 40       # bits of a bucket's key below the table's number, so also the longest substring
 
 
 @dataclass
@@ -82,6 +83,15 @@ def learn(sample: np.ndarray, bits: int, rotations: int, near: int) -> Codes:
     return Codes(axes, bits, near)
 
 
+def distance_for(length: int, p: float, miss: float) -> int:
+    """The smallest distance that codes of a pair at the threshold exceed with a probability of ``miss`` at most."""
+    left, k = 1.0 - (1.0 - p) ** length, 0
+    while left > miss and k < length:
+        k += 1
+        left -= math.comb(length, k) * p ** k * (1.0 - p) ** (length - k)
+    return k
+
+
 def rotations_for(bits: int, dimension: int, cosine: float = COSINE, recall: float = RECALL) -> int:
     """Rotations that substrings of ``bits`` bits need for the wanted recall."""
     length, p = min(64, dimension), math.acos(cosine) / math.pi
@@ -93,11 +103,12 @@ def plan(n: int, dimension: int, cosine: float = COSINE, recall: float = RECALL)
     """Substring bits, rotations and the largest distance of whole codes for ``n`` vectors.
 
     Each bit of a pair at the threshold differs with probability angle / pi; a table finds it if at most one bit of
-    its substring does.
+    its substring does.  A tenth of the loss allowed is left to the distance of whole codes, the rest to the tables.
     """
     length, p = min(64, dimension), math.acos(cosine) / math.pi
-    bits = max(1, min(length, max(8, min(20, math.ceil(math.log2(max(n, 2) / LOAD))))))
-    return bits, rotations_for(bits, dimension, cosine, recall), math.ceil(length * p + 3 * math.sqrt(length * p * (1 - p)))
+    bits = max(1, min(length, max(8, min(TABLE_SHIFT, math.ceil(math.log2(max(n, 2) / LOAD))))))
+    lost = 1 - recall
+    return bits, rotations_for(bits, dimension, cosine, 1 - 0.9 * lost), distance_for(length, p, 0.1 * lost)
 
 
 def _usable(vector: str, dimension: int) -> Column:
@@ -144,7 +155,7 @@ def _placed(coded: DataFrame, codes: Codes) -> DataFrame:
                 bucket = np.concatenate([own, own[row] | flip[bit]]).astype(np.int64)
                 who = np.concatenate([np.arange(len(own)), row])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(bucket + (t << 32)), pa.array(cls[who]), pa.array(np.arange(len(who)) < len(own)),
+                    pa.array(bucket + (t << TABLE_SHIFT)), pa.array(cls[who]), pa.array(np.arange(len(who)) < len(own)),
                     pa.array(all_codes[who, rotation].view(np.int64))], names=["key", "cls", "home", "code"])
 
     return coded.select("cls", "codes").mapInArrow(run, "key bigint, cls bigint, home boolean, code bigint")
@@ -164,11 +175,14 @@ def _partnered(code: np.ndarray, home: np.ndarray, near: int) -> np.ndarray:
     return found
 
 
-def _candidates(placed: DataFrame, near: int) -> DataFrame:
-    """The (key, cls, home) rows that have a near code in their bucket."""
+def _candidates(placed: DataFrame, near: int, block: int) -> DataFrame:
+    """The (key, cls, home) rows that have a near code in their bucket; all rows of a bucket that will be cut into blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, at in sorted_groups(batches, ["key"]):
+        for part, at, big in bounded_groups(batches, ["key"], block):
+            if big:
+                yield from part.select(["key", "cls", "home"]).to_batches()
+                continue
             code = part.column("code").to_numpy().view(np.uint64)
             home = part.column("home").to_numpy()
             keep = np.zeros(part.num_rows, bool)
@@ -217,7 +231,7 @@ def _verified(rows: DataFrame, codes: Codes, cosine: float, chunk: int = 256) ->
 
 def _bucket(own: dict, unit: np.ndarray, code: np.ndarray, codes: Codes, cosine: float, chunk: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links per row, weighted by the rows' class sizes, and a spanning forest of them, for one block of one bucket."""
-    table = int(own["key"][0]) >> 32
+    table = int(own["key"][0]) >> TABLE_SHIFT
     query = np.flatnonzero(own["home"] & (own["own"] == own["i"]))
     target = np.flatnonzero(own["own"] == own["j"])
     counted, top = np.zeros(len(unit), np.int64), np.arange(len(unit))
@@ -250,9 +264,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     ``bits`` and ``rotations`` take the place of the planned ones.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    sizes = rows.filter("size(vector) > 0").groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    common = sizes.orderBy(F.desc("n"), "d").first()
-    dimension = common["d"] if common else 1
+    lengths = rows.filter("size(vector) > 0").groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("d").collect()
+    linked = [_of_length(rows, r["d"], cosine, recall, sample, block, bits, rotations) for r in lengths]
+    compared = F.lit(False)
+    for r in lengths:
+        compared = compared | _usable("vector", r["d"])
+    out = rows.filter(~compared).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for part in linked:
+        out = part.unionByName(out)
+    return out
+
+
+def _of_length(rows: DataFrame, dimension: int, cosine: float, recall: float, sample: int, block: int, bits: int | None, rotations: int | None) -> DataFrame:
+    """vec_id, n_links and component_id of the usable vectors of one length."""
     usable = rows.filter(_usable("vector", dimension))
     classes = usable.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()))
@@ -266,7 +290,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     learned = _unit(chosen.column("vector").combine_chunks(), dimension) if chosen.num_rows else np.zeros((0, dimension))
     codes = learn(learned, bits, rotations, near)
     coded = stored(_coded(classes, codes, dimension))
-    candidates = stored(_candidates(_placed(coded, codes), near))
+    candidates = stored(_candidates(_placed(coded, codes), near, block))
     found = stored(_verified(_blocks(candidates, block).join(coded, "cls"), codes, cosine))
     counts = found.filter("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("add").alias("more"))
     joined = components(found.filter("b is not null").select("a", "b"))
@@ -274,6 +298,4 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     classes = classes.withColumn("root", F.coalesce("component", "cls")).withColumn("links", F.col("n") - 1 + F.coalesce("more", F.lit(0)))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(classes.join(names, "root").select("vector", "links", "component_id"))
-    linked = usable.join(named, "vector").select("vec_id", F.col("links").alias("n_links"), "component_id")
-    alone = rows.filter(~_usable("vector", dimension)).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone)
+    return usable.join(named, "vector").select("vec_id", F.col("links").alias("n_links"), "component_id")

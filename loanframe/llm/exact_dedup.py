@@ -16,11 +16,14 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanframe.llm import fuse_filter
+from loanframe.llm.collocations import filter_bits, passed
 from loanframe.llm.common import remainder, sorted_groups, stored
 
 KEYS_PER_FILTER = 50_000
@@ -48,10 +51,13 @@ def by_digest(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
 
 
-def build_snapshot(rows: DataFrame, keys_per_filter: int = KEYS_PER_FILTER) -> Snapshot:
-    """Buckets and filters of rows (doc_id, digest).  A filter holds about ``keys_per_filter`` digests at any input size."""
+def build_snapshot(rows: DataFrame, incoming: int = 0, keys_per_filter: int = KEYS_PER_FILTER) -> Snapshot:
+    """Buckets and filters of rows (doc_id, digest).
+
+    A filter holds about ``keys_per_filter`` digests at most, and is asked for as many of the ``incoming`` ones, at any size.
+    """
     buckets = stored(by_digest(rows))
-    slots = max(1, math.ceil(buckets.count() / keys_per_filter))
+    slots = max(1, math.ceil(max(buckets.count(), incoming) / keys_per_filter))
     buckets = buckets.withColumn("slot", _slot(slots))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +71,9 @@ def build_snapshot(rows: DataFrame, keys_per_filter: int = KEYS_PER_FILTER) -> S
 
 
 def screen(incoming: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """Incoming digests (digest, keep_id, n) that the snapshot's filters do not reject."""
+    """Incoming digests (digest, keep_id, n) that the snapshot's filters do not reject; none for an empty snapshot."""
+    if snapshot.filters.isEmpty():
+        return incoming.limit(0)
 
     def probe(key: tuple, rows: pa.Table, filters: pa.Table) -> pa.Table:
         if not filters.num_rows or not rows.num_rows:
@@ -79,6 +87,20 @@ def screen(incoming: DataFrame, snapshot: Snapshot) -> DataFrame:
         probe, f"digest binary, keep_id {kind['keep_id']}, n bigint")
 
 
+def _may_be(digests: DataFrame) -> Callable[[Column], Column]:
+    """Whether a digest's hash is among some digests, or nearly so: keeps texts that meet no other from being moved.
+
+    The filter has a bounded size at any number of digests; what it lets pass too much is settled by the join after it.
+    """
+    bits = digests.sparkSession.sparkContext.broadcast(filter_bits(digests.select(F.xxhash64("digest").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def among(key: pd.Series) -> pd.Series:
+        return pd.Series(passed(bits.value, key.to_numpy().view(np.uint64)))
+
+    return among
+
+
 def equal_texts(docs: DataFrame, old: Column, digest_of: Callable[[str], Column] = digest) -> tuple[DataFrame, bool]:
     """Groups of equal texts with more than one row, and whether different texts share a digest.
 
@@ -86,12 +108,13 @@ def equal_texts(docs: DataFrame, old: Column, digest_of: Callable[[str], Column]
     ``old`` tells the rows of the snapshot from the incoming ones.
     """
     rows = docs.select("doc_id", digest_of("text").alias("digest"), F.coalesce(old, F.lit(False)).alias("old"))
-    snapshot = build_snapshot(rows.filter("old"))
     incoming = stored(by_digest(rows.filter("not old")))
+    snapshot = build_snapshot(rows.filter("old"), incoming.count())
     shared = screen(incoming, snapshot).join(snapshot.buckets.select("digest"), "digest", "left_semi").select("digest")
     shared = shared.unionByName(incoming.filter("n > 1").select("digest"))
     shared = stored(shared.unionByName(snapshot.buckets.filter("n > 1").select("digest")).distinct())
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), digest_of("text").alias("digest"))
+    texts = texts.filter(_may_be(shared)(F.xxhash64("digest")))
     # grouped by the text alone: the copies of a task are combined first, and Spark may split a hot digest before it
     same = texts.join(shared.hint("shuffle_hash"), "digest").groupBy("text").agg(
         F.first("digest").alias("digest"), F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))

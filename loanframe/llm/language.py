@@ -93,7 +93,10 @@ class Model:
 
 
 def training_rows(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
-    """(lang, text) of at most ``at_most`` rows with a language and a letter, evenly over the languages where it can be."""
+    """(lang, text) of about ``at_most`` rows with a language, evenly over the languages where it can be.
+
+    The draw is a number per row, so the last one drawn is found on numbers alone and the texts stay where they are.
+    """
     rows = docs.filter("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(at_most).collect()}
     if not counts:
@@ -101,7 +104,9 @@ def training_rows(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
     each = at_most / len(counts)
     share = F.coalesce(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, each / n))])[F.col("lang")], F.lit(0.0))
     draw = hash_share("doc_id", seed=17)
-    return rows.filter(draw < share).orderBy(draw / share, "doc_id").limit(at_most).select("lang", "text")
+    drawn = rows.filter(draw < share)
+    last = drawn.select((draw / share).alias("turn")).orderBy("turn").limit(at_most).agg(F.max("turn")).first()[0]
+    return drawn.filter(draw / share <= F.lit(last)).select("lang", "text")
 
 
 def fit(docs: DataFrame, at_most: int = AT_MOST) -> Model | None:
@@ -113,7 +118,7 @@ def fit(docs: DataFrame, at_most: int = AT_MOST) -> Model | None:
             rows = [trigrams(t).tobytes() if LETTER.search(t) else None for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary())], names=["lang", "x"])
 
-    found = training_rows(docs, at_most).mapInArrow(run, "lang string, x binary").filter("x is not null").toPandas()
+    found = training_rows(docs, at_most).mapInArrow(run, "lang string, x binary").filter("x is not null").limit(at_most).toPandas()
     if not len(found):
         return None
     x, lang = np.frombuffer(b"".join(found["x"]), np.float32).reshape(len(found), -1), found["lang"].to_numpy(object)

@@ -32,6 +32,7 @@ NEARLY = 0.99          # of the capacity; fuller bins are emitted
 ITEMS = 500_000        # rows a task packs at a time
 FAN = 8                # tasks whose left-over bins meet in one task of the next round
 WORDS_KEPT = 400_000   # encoded chunks a worker remembers
+BYTES_KEPT = 16 << 20  # and their characters: a text without white space is one chunk
 END = 0                # id that ends a document
 TEXTS = 500            # texts a worker encodes at a time
 
@@ -55,16 +56,17 @@ class Encoder:
     # spaces for str.split() that the vocabulary does not treat as white space; such texts are encoded as they are
     ODD = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT, bytes_kept: int = BYTES_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark has a task for every core
         from tokenizers import Tokenizer
 
-        self.whole, self.kept = Tokenizer.from_file(path), words_kept
+        self.whole, self.kept, self.bytes_kept = Tokenizer.from_file(path), words_kept, bytes_kept
         self.model = self.whole.model
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.size_kept = 0
         self.parts: dict[str, list[int]] = {}
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
@@ -81,6 +83,7 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         found = [self._ids(c) for c in chunks]
+        self.size_kept += sum(map(len, chunks))
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
@@ -88,7 +91,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, without end id."""
-        if len(self.number) > self.kept:
+        if max(len(self.number), len(self.parts)) > self.kept or self.size_kept > self.bytes_kept:
             self._forget()
         number, known, rows = self.number, len(self.number), []
         for text in texts:

@@ -68,7 +68,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = AT_MOST)
     named = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
     chosen = F.broadcast(bounded_sample(named, at_most, "id", seed=23))          # at_most rows of two numbers
     rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id")).select("text", "y")
-    found = rows.mapInArrow(run, "x binary, y int").toPandas()
+    found = rows.mapInArrow(run, "x binary, y int").limit(at_most).toPandas()    # an id may stand in several rows
     x = np.frombuffer(b"".join(found["x"]), np.float64).reshape(len(found), len(STATISTICS))
     order = np.lexsort([*x.T, found["y"]])                                       # rows arrive in any order
     return boosting.fit(x[order], found["y"].to_numpy(np.float64)[order])

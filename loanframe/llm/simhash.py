@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanframe.llm.common import components, sorted_groups, stored
+from loanframe.llm.exact_dedup import digest
+from loanframe.llm.common import components, bounded_groups, stored
 
 WORDS = 3              # per shingle
 SEED = 42
 NEAR = 3               # bits
 HOT = 20_000           # fingerprints of an anchor that are dealt again
+CLASSES_PER_TASK = 20_000    # fingerprints whose anchors one task spreads
 CHUNK = 1 << 15        # shingles counted at a time
 
 
@@ -57,15 +59,15 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint, a long of the same bits."""
+    """doc_id, the SHA-256 of the text, and fingerprint, a long of the same bits."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits)], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(bits)], names=["doc_id", "digest", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint bigint")
+    return docs.select("doc_id", "text", digest("text").alias("digest")).mapInArrow(run, f"doc_id {kind}, digest binary, fingerprint bigint")
 
 
 # ------------------------------------------------------------------ anchors
@@ -132,8 +134,11 @@ def forest(values: np.ndarray, near: int = NEAR) -> tuple[list[int], list[int]]:
 
 def _compare(batches: Iterator[pa.RecordBatch], hot: float) -> Iterator[pa.RecordBatch]:
     """Links per anchor; of an anchor with over ``hot`` fingerprints its rows instead, with their key."""
-    for part, at in sorted_groups(batches, ["key"]):
+    for part, at, big in bounded_groups(batches, ["key"], hot):
         value = part.column("fingerprint").to_numpy()
+        if big:                                     # never held as a whole
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(value), part.column("key").combine_chunks()], names=["a", "b", "key"])
+            continue
         bits, home = value.view(np.uint64), part.column("home").to_numpy(zero_copy_only=False)
         size, homes = np.diff(at), np.add.reduceat(home.astype(np.int64), at[:-1])
         two = at[:-1][(size == 2) & (homes > 0)]
@@ -164,27 +169,44 @@ def links(classes: DataFrame, hot: int = HOT) -> DataFrame:
         rows = rows.repartition("key").sortWithinPartitions("key")
         return rows.mapInArrow(partial(_compare, hot=most), "a bigint, b bigint, key bigint")
 
-    first = stored(compared(_covered(classes), hot))
+    # every class has 28 anchors: dealt by their number, whatever the partitions they come in
+    spread = classes.repartition(max(1, -(-classes.count() // CLASSES_PER_TASK)))
+    first = stored(compared(_covered(spread), hot))
     hot_rows = first.filter("key is not null").select("key", F.col("a").alias("fingerprint"))
     again = compared(_dealt_again(hot_rows), float("inf"))
     return first.filter("key is null").select("a", "b").unionByName(again.select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, fingerprint (a long) and component_id, the smallest doc_id that links reach."""
+def _joined(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, digest, fingerprint), and per fingerprint its component (root, and its smallest doc_id)."""
     prints = stored(fingerprints(docs))
     classes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     joined = components(links(classes.select("fingerprint"), hot))
     classes = classes.join(joined, F.col("fingerprint") == F.col("node"), "left")
     classes = classes.select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("root"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(classes.join(names, "root").select("fingerprint", "component_id"))
+    return prints, stored(classes.join(names, "root").select("fingerprint", "root", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """doc_id, fingerprint (a long) and component_id, the smallest doc_id that links reach."""
+    prints, named = _joined(docs, hot)
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """The first document of each component, with all its columns."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select("doc_id", F.struct("*").alias("row"))
-    named = rows.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(rows.filter("doc_id is null")).select("row.*")
+def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """One document of each component, with all its columns: that of the smallest doc_id, nulls last, then of the smallest digest.
+
+    Rows are told apart by doc_id and text: rows that share their id but not their text are decided each on its own, rows
+    without id like all others, and of rows equal in both one stays.
+    """
+    prints, named = _joined(docs, hot)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("m")
+    kept = prints.join(named, "fingerprint").groupBy("root").agg(first).select("m.doc_id", "m.digest").select("digest", _id_text())
+    rows = docs.select(digest("text").alias("digest"), _id_text(), F.struct("*").alias("row"))
+    return rows.join(kept, ["digest", "id_text"], "left_semi").dropDuplicates(["digest", "id_text"]).select("row.*")
+
+
+def _id_text() -> Column:
+    """A key without nulls: '-' for none, else '+' and the id."""
+    return F.coalesce(F.concat(F.lit("+"), F.col("doc_id").cast("string")), F.lit("-")).alias("id_text")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -28,6 +29,7 @@ from loanframe.llm.common import stored
 ROLL = 256 << 20         # bytes after which a task begins a new archive
 GAP = 64 << 10           # bytes between two records that are read rather than skipped
 READ = 8 << 20           # bytes of one coalesced read, unless a single record is longer
+TASK_BYTES = 16 << 20   # of the archives that one task reads back
 DATE = "2024-01-01T00:00:00Z"
 URN = "urn:page:"
 INDEX = "archive string, offset bigint, length bigint, url string, digest string, page_id {0}, record_type string, refers_to {0}"
@@ -117,7 +119,7 @@ def _parsed(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
-def read(index: DataFrame, payload: bool = True) -> DataFrame:
+def read(index: DataFrame, payload: bool = True, bytes_per_task: int = TASK_BYTES) -> DataFrame:
     """The selected records: page_id, url, payload_bytes, payload_digest, record_type, refers_to (and the payload).
 
     The payload of a response is read, counted and digested anew; one that differs from its header is an error.  A
@@ -147,7 +149,10 @@ def read(index: DataFrame, payload: bool = True) -> DataFrame:
                 columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types[:len(names)])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    placed = index.select("archive", "offset", "length", "page_id").repartitionByRange("archive", "offset")
+    placed = index.select("archive", "offset", "length", "page_id")
+    # by the bytes that are to be read, not by the size of the index
+    tasks = max(1, math.ceil((placed.agg(F.sum("length")).first()[0] or 0) / bytes_per_task))
+    placed = placed.repartitionByRange(tasks, "archive", "offset")
     return placed.sortWithinPartitions("archive", "offset").mapInArrow(load, schema + ", payload string" * payload)
 
 

@@ -63,6 +63,8 @@ def test_awkward_texts(spark, monkeypatch):
     assert found(df, threshold=3, first=4) == plain(rows, 3, 4)
     clash = df.withColumns({c: F.lit(1) for c in ("phrase", "n", "a", "key", "part", "size", "words", "rank")})
     monkeypatch.setattr(collocations, "CHUNK_BYTES", 90)
+    monkeypatch.setattr(collocations, "RECENT", 3)
+    monkeypatch.setattr(collocations, "PHRASES", 60)
     assert found(clash.repartition(3), threshold=3) == plain(rows, 3)
     assert found(df.limit(0)) == [] and found(df.filter("text is null or text = ''")) == []
 

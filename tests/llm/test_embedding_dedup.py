@@ -1,5 +1,7 @@
 """Links and components against all pairs, and recall at the threshold."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -65,9 +67,11 @@ def test_recall(spark, cosine, least):
 def test_planned_recall_does_not_depend_on_the_number_of_vectors():
     p = np.arccos(0.9) / np.pi
     for n in (1_000, 20_000, 35_279, 10**6, 10**7, 10**9):
-        bits, rotations, _ = dedup.plan(n, 64)
+        bits, rotations, near = dedup.plan(n, 64)
         missed = 1 - (1 - p) ** (bits - 1) * (1 - p + bits * p)
-        assert 1 - missed ** (rotations * (64 // bits)) >= 0.999, n
+        within = sum(math.comb(64, k) * p ** k * (1 - p) ** (64 - k) for k in range(near + 1))
+        assert within * (1 - missed ** (rotations * (64 // bits))) >= 0.9995, n
+    assert dedup.plan(10**11, 64)[0] > 30
 
 
 @pytest.mark.parametrize("bits", [12, 16, 20])
@@ -103,5 +107,7 @@ def test_awkward_rows(spark):
     more = frame.withColumns({c: F.lit("clash") for c in ("vector", "n", "cls", "least", "root", "label", "codes")})
     assert same_rows(dedup.near_duplicates(frame), dedup.near_duplicates(more))
     assert dedup.near_duplicates(frame.limit(0)).count() == 0
+    mixed = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.1]), (3, [5.0, -1.0]), (4, [1.0, 2.0, 3.0]), (5, [1.0, 2.0, 3.1]), (6, [1.0]), (7, [2.0, 2.0, 2.0, 2.0])], SCHEMA)
+    assert found_in(dedup.near_duplicates(mixed)) == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7)}
     huge = spark.createDataFrame([(1, [1e200, 1e200]), (2, [1e-200, 1e-200])], "vec_id long, embedding array<double>")
     assert found_in(dedup.near_duplicates(huge)) == {1: (1, 1), 2: (1, 1)}

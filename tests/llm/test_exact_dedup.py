@@ -61,3 +61,18 @@ def test_texts_that_share_a_digest_stay_apart(spark):
     want, got = exact_dedup.decisions(frame), exact_dedup.decisions(frame, digest_of=coarse)
     names = ["doc_id", "keep_id", "group_size", "copy", "kept"]
     assert same_rows(want.select(*names), got.select(*names))
+
+
+@pytest.mark.parametrize("old", [False, True, None])
+def test_slots_follow_both_sides(spark, monkeypatch, old):
+    """An empty snapshot, an empty batch and both: many slots, the same groups."""
+    monkeypatch.setattr(exact_dedup.build_snapshot, "__defaults__", (0, 5))
+    rows = [(i, f"text {i % 37}", None, None, 1) for i in range(120)]
+    given = docs(spark, rows)
+    found = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.decisions(given, None if old is None else F.lit(old)).collect()}
+    same = {}
+    for i, t, *_ in rows:
+        same.setdefault(t, []).append(i)
+    assert found == {i: (max(same[t]), len(same[t])) for i, t, *_ in rows}
+    digests = given.select("doc_id", exact_dedup.digest("text").alias("digest"))
+    assert exact_dedup.build_snapshot(digests.limit(0), 100).slots == 20

@@ -100,3 +100,12 @@ def test_chunks_encode_like_whole_texts(text):
 
 
 ENCODERS: list = []
+
+
+def test_a_worker_forgets_by_size():
+    """Long texts without white space are one chunk each: what a worker remembers is bounded by characters, too."""
+    encoder, other = packing.Encoder(vocabulary(), bytes_kept=5_000), packing.Encoder(vocabulary())
+    texts = ["".join(chr(0x4E00 + (7 * i + j) % 900) for j in range(3000)) for i in range(6)] + ["plain words here"]
+    for text in texts:
+        (one,), (two,) = encoder.encode([text]), other.encode([text])
+        assert one.tolist() == two.tolist() and encoder.size_kept <= 8_000

@@ -103,6 +103,17 @@ def test_awkward_rows(spark):
     assert ids == sorted(str(i) for i in [1, 3, 5, 7, None, 9, 10] + [8] * (found[(8, simhash_of(given, 8))] == 8))
 
 
+def test_rows_that_share_an_id_are_decided_each_on_its_own(spark):
+    a, b = " ".join(f"word{i}" for i in range(400)) + " ", " ".join(f"other{i * i}" for i in range(400))
+    rows = [(1, a, None, None, 1), (1, b, None, None, 1), (None, a + "extra", None, None, 1), (None, "quite another text without any twin at all here", None, None, 1),
+            (None, b, None, None, 1), (2, a, None, None, 1), (2, a, None, None, 1)]
+    assert bin(simhash.fingerprint(a) ^ simhash.fingerprint(a + "extra")).count("1") <= 3
+    kept = sorted((str(r.doc_id), r.text) for r in simhash.deduplicate(docs(spark, rows)).collect())
+    assert kept == sorted([("1", a), ("1", b), ("None", rows[3][1])])
+    near_null = docs(spark, [(None, a, None, None, 1), (None, a + "extra", None, None, 1)])
+    assert simhash.deduplicate(near_null).count() == 1
+
+
 def simhash_of(given, doc_id):
     text = given.filter(f"doc_id = {doc_id}").first().text
     return int(np.array([simhash.fingerprint(text)], np.uint64).view(np.int64)[0])

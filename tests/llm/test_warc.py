@@ -73,3 +73,10 @@ def test_selected_records_and_columns_that_clash(spark):
 def test_runs_join_near_records_only():
     offset, length, archive = [0, 10, 20, 500_000, 0], [10, 10, 10, 5, 4], ["a"] * 4 + ["b"]
     assert list(warc._runs(offset, length, archive)) == [(0, 3), (3, 4), (4, 5)]
+
+
+def test_read_back_is_dealt_by_bytes(spark):
+    index = written(spark)
+    total = index.agg(F.sum("length")).first()[0]
+    few, many = warc.read(index, bytes_per_task=10 * total), warc.read(index, bytes_per_task=total // 4)
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() > 2 and same_rows(few, many)
