@@ -53,6 +53,32 @@ TEMPLATES = [
     ("CC-BY", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0", "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", "MIT licensed"),
+    ("MIT", "Licensed under MIT"),
+    ("MIT", "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability"),
+    ("Apache-2.0", "Apache 2.0 licensed"),
+    ("Apache-2.0", "Distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
+    ("GPL-3.0", "Licensed under GPLv3"),
+    ("GPL-3.0", "Licensed under the GPLv3"),
+    ("GPL-3.0", "Licensed under the GPL version 3"),
+    ("GPL-2.0", "Licensed under GPLv2"),
+    ("GPL-2.0", "Licensed under the GPLv2"),
+    ("GPL-2.0", "Licensed under the GPL version 2"),
+    ("BSD", "BSD licensed"),
+    ("BSD", "Licensed under the 3-clause BSD license"),
+    ("BSD", "This software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("ISC", "Licensed under the ISC License"),
+    ("Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0"),
+    *[(family, f"SPDX-License-Identifier: {tag}") for family, tags in (
+        ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3.0 GPL-3.0-only GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0 GPL-2.0-only GPL-2.0-or-later"),
+        ("LGPL", "LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later"), ("AGPL-3.0", "AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later"),
+        ("BSD", "BSD-2-Clause BSD-3-Clause"), ("MPL-2.0", "MPL-2.0"), ("ISC", "ISC"), ("Zlib", "Zlib"), ("BSL-1.0", "BSL-1.0"), ("EPL-2.0", "EPL-2.0"),
+        ("CC-BY", "CC-BY-4.0"), ("CC-BY-SA", "CC-BY-SA-4.0"), ("CC-BY-NC", "CC-BY-NC-4.0"), ("CC0", "CC0-1.0"), ("Unlicense", "Unlicense")) for tag in tags.split()],
 ]
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *dict.fromkeys(f for f, _ in TEMPLATES)]
@@ -63,6 +89,7 @@ PRECISION = 0.98       # wanted of what passes a family's threshold
 ALIKE = 0.6            # share of a template's word pairs that confirms a prediction
 WINDOW = 40            # words classified together
 STEP = 16              # words from one window to the next
+LONGEST = 400          # words of a paragraph that the class unknown is learned from; all words are classified
 
 
 def words(paragraph: Column) -> Column:
@@ -168,7 +195,10 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
     n = usable.count()
     draw = hash_share("paragraph", seed=53)
     # paragraphs that look like a template are no examples of anything else
-    others = usable.filter(draw < 1.2 * at_most / max(1, n)).orderBy(draw).limit(at_most).select(words(F.col("paragraph")).alias("words"))
+    drawn = usable.filter(draw < 1.2 * at_most / max(1, n))
+    # the last paragraph drawn is found on numbers alone; equal ones count once, so that what is kept is bounded
+    last = drawn.select(draw.alias("turn")).orderBy("turn").limit(at_most).agg(F.max("turn")).first()[0]
+    others = drawn.filter(draw <= F.lit(last)).select(F.slice(words(F.col("paragraph")), 1, LONGEST).alias("words")).distinct()
     likeness = F.array_max(_likeness(F.col("words")))
     others = stored(others.filter(F.coalesce(likeness, F.lit(0.0)) < ALIKE / 2))
     rows = stored(_terms(_variants(spark, others).withColumn("label", F.col("label").cast("double"))).select("label", "features", "words"))

@@ -73,6 +73,29 @@ def test_notices_wrapped_over_lines(spark):
     assert {r.doc_id: (r.families, r.n_hits, r.first_line) for r in found} == want
 
 
+FORMS = {
+    "SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "// spdx-license-identifier: GPL-2.0-or-later": "GPL-2.0",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice appear in all copies.": "ISC",
+    " * Distributed under the Boost Software License, Version 1.0.\n * (See accompanying file LICENSE_1_0.txt)": "BSL-1.0",
+    "This program and the accompanying materials\nare made available under the terms of the Eclipse Public License 2.0\nwhich accompanies this distribution": "EPL-2.0",
+    "  Permission is granted to anyone to use this software for any purpose,\n  including commercial applications, and to alter it and redistribute it\n  freely, subject to the following restrictions:": "Zlib",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.': "MIT",
+    "Licensed under GPLv3": "GPL-3.0", "MIT licensed": "MIT", "frob 2.1 - MIT licensed, see COPYING": "MIT",
+    "This project, frob, is released under the MIT License (see the file COPYING)": "MIT",
+    "This library is licensed under the terms of the GNU Lesser General Public License, see below": "LGPL",
+}
+CLEAN = ["The permission of the software authority was granted to any person of age.", "A licensed driver under the age of thirty.", "version 2.0 of the public terms of use",
+         "He provided the warranty as is, without any software.", "The mit of the glove was free of charge.", "This identifier is Apache, the tribe."]
+
+
+def test_other_forms_of_notices(spark):
+    other = table(spark, FOLDER, "documents").select(docs(spark).columns)
+    rows = [(30_000 + k, f"Some words of prose first.\n\n{form}\n\nAnd prose after it.", None, None, None) for k, form in enumerate([*FORMS, *CLEAN])]
+    found = licences.scan(other.unionByName(spark.createDataFrame(rows, other.schema))).filter("doc_id >= 30000").collect()
+    want = {30_000 + k: family for k, family in enumerate([*FORMS.values(), *[""] * len(CLEAN)])}
+    assert {r.doc_id: r.families for r in found} == want
+
+
 def test_main_path_has_no_python(spark):
     plan = op8_license(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
