@@ -7,13 +7,12 @@ with sums, whose size depends on features, bins and nodes alone.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, cloudpickle
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +24,6 @@ MOST_ROWS = 65_536      # rows of a block
 LEAST_ROWS = 2_048
 
 
-def ship(module: str) -> None:
-    """Tasks get the module's functions with their closures: workers need not have the library on their path."""
-    cloudpickle.register_pickle_by_value(sys.modules[module])
-
-
-ship(__name__)
-
-
 @dataclass
 class Blocks:
     """Blocks of one table: x (features x rows, bytes), y, fold, key."""

@@ -18,11 +18,10 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
-from loanframe.operators.blocks import Blocks, share, ship, summed
+from loanframe.operators.blocks import Blocks, share, summed
 from loanframe.operators.ordering import checkpoint_folder
 from loanframe.operators.treemodel import TreeModel
 
-ship(__name__)
 CUT_EVERY = 40          # rounds after which the margins' lineage is cut
 TASK_ROWS = 200_000     # rows of a node whose subtree one task finishes
 

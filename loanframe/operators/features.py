@@ -264,14 +264,6 @@ class LoanPreprocessorModel(Model):
             out = out.drop(f"__key_{i}", f"__enc_{i}")
         return out
 
-    def fill_table(self, spark: SparkSession) -> DataFrame:
-        rows = [(c, None if isinstance(v, str) else float(v), v if isinstance(v, str) else None) for c, v in self.state["fills"].items()]
-        return spark.createDataFrame(rows, "feature string, fill_number double, fill_text string")
-
-    def bound_table(self, spark: SparkSession) -> DataFrame:
-        rows = [(c, float(a), float(b)) for c, (a, b) in self.state["bounds"].items()]
-        return spark.createDataFrame(rows, "feature string, low double, high double")
-
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         text = spark.createDataFrame([(json.dumps(self.state, ensure_ascii=False),)], "state string")

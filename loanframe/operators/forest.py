@@ -15,11 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from loanframe.operators.blocks import Blocks, mixed, share, ship, summed, unpacked
+from loanframe.operators.blocks import Blocks, mixed, share, summed, unpacked
 from loanframe.operators.boosting import targets, walked
 from loanframe.operators.treemodel import TreeModel
 
-ship(__name__)
 TASK_ROWS = 500_000         # rows of a node that one task finishes
 PASS_BYTES = 64 << 20       # histograms of one pass
 GROUP_BYTES = 32 << 20      # rows sent per task, about

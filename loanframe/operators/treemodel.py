@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanframe.functions.fields import quoted
-from loanframe.operators.blocks import binned, ship
+from loanframe.operators.blocks import binned
 
-ship(__name__)
 WALK = 4_000_000        # places of rows x trees that are walked at a time
 GROUP_NODES = 4_000_000      # nodes that a worker unpacks at a time
 

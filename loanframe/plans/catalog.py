@@ -14,7 +14,7 @@ from loanframe.functions.fields import lookup, quoted
 from loanframe.operators import decision, explain, features, labels, metrics, purify, regress, resample, selection, splits, strategy
 from loanframe.operators.classify import RiskClassifier, probability_columns
 from loanframe.operators.labels import LIMIT, OVERDUE, RISK, SCENE, with_labels
-from loanframe.operators.ordering import random_sample
+from loanframe.operators.ordering import checkpoint_folder, random_sample
 from loanframe.operators.tuning import tune_classifier, tune_regressor
 from loanframe.operators.two_stage import TwoStageClassifier, evaluate_stages, predict_with_rules
 from loanframe.operators.weighting import balanced_weight_table
@@ -565,7 +565,9 @@ def review_responses(spark, folder):
 
 
 def _features(spark, folder):
-    return training.prepare_features(_split(spark, folder))
+    """The feature table of a folder, fitted by the first query of the session that needs it."""
+    checkpoint_folder(spark)
+    return training.stored_features(_split(spark, folder), spark.sparkContext.getCheckpointDir())
 
 
 def rf_top_features(spark, folder):
@@ -697,6 +699,20 @@ def batch_scoring(spark, folder):
     return scoring.score_batch(_loans(spark, folder), chain).select("id", *scoring.RECORD)
 
 
+def model_importance(spark, folder):
+    """Gain shares of the boosted model's features, the fifteen largest first."""
+    ft = _features(spark, folder)
+    model = RiskClassifier("lightgbm", ft.features, RISK, "auto").fit(ft.part("train"))
+    return explain.top_importance(model.importance(spark), 15)
+
+
+def tree_attributions(spark, folder):
+    """What each feature adds to the margins of the boosted model, per class, over the test rows."""
+    ft = _features(spark, folder)
+    model = RiskClassifier("lightgbm", ft.features, RISK, "auto").fit(ft.part("train"))
+    return explain.tree_attributions(model, ft.part("test"))
+
+
 def grid_search(spark, folder):
     return experiments.weight_threshold_grid(_features(spark, folder))
 

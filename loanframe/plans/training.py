@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanframe.functions.fields import quoted
 from loanframe.operators.classify import RiskClassifier, RiskModel, probability_columns
 from loanframe.operators.features import LoanPreprocessor, LoanPreprocessorModel
 from loanframe.operators.labels import LIMIT, RISK
@@ -22,13 +24,33 @@ POLICY_VERSION = "application-fields-4-class-1"
 
 @dataclass
 class FeatureTable:
-    """One feature table for all splits, kept in memory or on disk while in use."""
+    """One feature table for all splits: kept in memory or on disk while in use, or read from where it was written."""
 
     table: DataFrame
     preprocessor: LoanPreprocessorModel
     selector: FeatureSelectorModel
     label: str
 
+    def save(self, path: str, manifest: dict) -> None:
+        """Rows, fitted steps, and the manifest last: a folder without one is unfinished."""
+        self.table.write.mode("overwrite").parquet(f"{path}/table")
+        self.preprocessor.save(f"{path}/preprocessor")
+        self.selector.save(f"{path}/selector")
+        row = [(json.dumps({**manifest, "label": self.label, "columns": self.table.columns}, ensure_ascii=False),)]
+        self.table.sparkSession.createDataFrame(row, "manifest string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, manifest: dict) -> "FeatureTable | None":
+        """The table that was written for this manifest, or None: there is none, or inputs or settings have changed."""
+        found = _text_at(spark, f"{path}/manifest")
+        if found is None:
+            return None
+        held = json.loads(found)
+        if any(held.get(k) != v for k, v in manifest.items()):
+            return None
+        table = spark.read.parquet(f"{path}/table").select(*[quoted(c) for c in held["columns"]])
+        return cls(table, LoanPreprocessorModel.load(f"{path}/preprocessor"), FeatureSelectorModel.load(f"{path}/selector"), held["label"])
+
     @property
     def features(self) -> list[str]:
         return self.selector.outputs
@@ -57,6 +79,38 @@ def prepare_features(
     return FeatureTable(table, preprocessor, selector, label)
 
 
+def manifest_of(split: DataFrame, **settings) -> dict:
+    """What a feature table depends on: the rows, whatever their order, and the settings."""
+    whole = F.xxhash64(*[quoted(c) for c in split.columns])
+    n, digest = split.agg(F.count(F.lit(1)), F.sum(whole.cast("decimal(38,0)"))).first()
+    return {"version": POLICY_VERSION, "settings": settings, "rows": n, "digest": str(digest), "inputs": split.columns}
+
+
+def stored_features(split: DataFrame, path: str, **settings) -> FeatureTable:
+    """The feature table written below ``path`` for these rows and settings; fitted and written where there is none.
+
+    Settings are those of ``prepare_features``.  Tables of other rows or settings stay where they are.
+    """
+    spark, manifest = split.sparkSession, manifest_of(split, **settings)
+    own = f"{path.rstrip('/')}/features-{hashlib.sha256(json.dumps(manifest, sort_keys=True).encode()).hexdigest()[:24]}"
+    found = FeatureTable.load(spark, own, manifest)
+    if found is None:
+        fitted = prepare_features(split, **settings)
+        fitted.save(own, manifest)
+        fitted.release()
+        found = FeatureTable.load(spark, own, manifest)
+    return found
+
+
+def _text_at(spark: SparkSession, path: str) -> str | None:
+    try:
+        return spark.read.text(path).first()["value"]
+    except Exception as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+
+
 @dataclass
 class TrainedChain:
     """Everything batch scoring needs."""
@@ -86,13 +140,10 @@ class TrainedChain:
     @classmethod
     def load(cls, path: str) -> "TrainedChain | None":
         """The stored chain, or None when there is none of the current policy."""
-        spark = SparkSession.getActiveSession()
-        try:
-            policy = json.loads(spark.read.text(f"{path}/policy").first()["value"])
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
+        found = _text_at(SparkSession.getActiveSession(), f"{path}/policy")
+        if found is None:
+            return None
+        policy = json.loads(found)
         if policy["version"] != POLICY_VERSION:
             return None
         risk = (TwoStageModel if policy["two_stage"] else RiskModel).load(f"{path}/risk")

@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanframe.operators.classify import RiskClassifier, probability_columns
+from loanframe.operators import explain
 from loanframe.operators.explain import permutation_importance, with_shuffled
 from loanframe.operators.features import LoanPreprocessor
 from loanframe.operators.labels import LIMIT, RISK
 from loanframe.operators.regress import LimitRegressor
 from loanframe.operators.splits import with_time_folds
-from loanframe.operators.tuning import tune_classifier
+from loanframe.operators.metrics import summarize
+from loanframe.operators.tuning import tune_classifier, tune_regressor
 from loanframe.operators.two_stage import TwoStageClassifier, TwoStageModel
 from loanframe.operators.weighting import resolve
 from loanframe.plans import catalog, prepare, scoring, training
@@ -97,7 +99,7 @@ def test_fitted_queries_use_the_defaults(monkeypatch):
         return lambda *args, **params: used.append((name, [x for x in args if x != RISK and not isinstance(x, Mock)], params)) or Mock()
 
     for module, names in ((catalog, ["RiskClassifier", "TwoStageClassifier", "_split", "_loans", "_preprocessed", "_train_rows", "probability_columns", "evaluate_stages"]),
-                          (catalog.training, ["prepare_features", "train_chain"]), (catalog.selection, ["FeatureSelector"]), (catalog.regress, ["LimitRegressor"]),
+                          (catalog.training, ["stored_features", "train_chain"]), (catalog, ["checkpoint_folder"]), (catalog.selection, ["FeatureSelector"]), (catalog.regress, ["LimitRegressor"]),
                           (catalog.experiments, [n for n in vars(catalog.experiments) if n.startswith(("compare_", "weight_threshold_", "four_class_", "three_class_"))])):
         for name in names:
             monkeypatch.setattr(module, name, note(name) if name != "_preprocessed" else lambda *a: (Mock(), Mock()))
@@ -151,6 +153,84 @@ def test_chain_scores_batch_and_single_row(spark, split, tmp_path):
     assert scoring.score_batch(one, chain).count() == 1
 
 
+def test_feature_table_is_reloaded_by_its_manifest(spark, split, tmp_path, monkeypatch):
+    """Written once per rows and settings; other rows or settings get a table of their own, an unfinished one is made anew."""
+    fits, fit = [], training.prepare_features
+    monkeypatch.setattr(training, "prepare_features", lambda *a, **k: fits.append(k) or fit(*a, **k))
+    settings = {"top_k": 5, "n_trees": 2, "max_depth": 3}
+    one, path = training.stored_features(split, str(tmp_path), **settings), str(tmp_path)
+    again = training.stored_features(split.repartition(3), path, **settings)
+    assert len(fits) == 1 and again.features == one.features and again.table.columns == one.table.columns
+    assert again.table.exceptAll(one.table).count() == 0 and one.table.count() == split.count()
+    fresh = again.selector.transform(again.preprocessor.transform(split)).select(*one.table.columns)
+    assert fresh.select("id", *one.features).exceptAll(one.table.select("id", *one.features)).count() == 0
+    training.stored_features(split, path, **{**settings, "top_k": 4})
+    training.stored_features(split.where("id % 2 = 0"), path, **settings)
+    assert len(fits) == 3
+    manifest = training.manifest_of(split, **settings)
+    assert training.FeatureTable.load(spark, path + "/nothing", manifest) is None
+    one.save(path + "/other", {**manifest, "rows": 1})
+    assert training.FeatureTable.load(spark, path + "/other", manifest) is None
+
+
+def test_importance_attributions_and_metric_file(spark, featured, tmp_path):
+    pre, table = featured
+    model = RiskClassifier("lightgbm", pre.outputs, RISK, "auto", n_estimators=4).fit(table.where("split = 'train'"))
+    top = explain.top_importance(model.importance(spark), 15).collect()
+    assert [r["rank"] for r in top] == list(range(1, 16)) and sorted((-r.importance, r.feature) for r in top) == [(-r.importance, r.feature) for r in top]
+    parts = explain.tree_attributions(model, table).toPandas()
+    assert len(parts) == 4 * (len(pre.outputs) + 1) and (parts["mean_abs"] >= parts["mean"].abs() - 1e-12).all()
+    margin = model.stages[0].margins
+    from loanframe.operators.blocks import binned
+
+    values = table.select(*[F.col(f"`{c}`") for c in pre.outputs]).toPandas()
+    want = margin(binned([values.iloc[:, i].to_numpy(float) for i in range(values.shape[1])], model.stages[0].cuts)).mean(axis=0)
+    got = parts.groupby("label")["mean"].sum().sort_index().to_numpy()
+    assert abs(got - want).max() < 1e-9
+    tables.write_metrics(explain.top_importance(model.importance(spark), 3), str(tmp_path / "metrics"))
+    assert spark.read.json(str(tmp_path / "metrics")).count() == 3
+
+
+def test_lasso_and_tuning_by_sums_of_products(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(600, 3)), 1)       # few enough values for a bin each, whatever the rows
+    y = x @ [2.0, 0.0, -1.0] + 5 + rng.normal(size=600)
+    fold = np.sort(rng.integers(-1, 3, 600))
+    df = spark.createDataFrame([(*map(float, r), float(t), int(f)) for r, t, f in zip(x, y, fold)], "a double, b double, c double, t double, fold int")
+    model = LimitRegressor("lasso", ["a", "b", "c"], "t", alpha=0.5).fit(df)
+    b = model.stage.coefficients.toArray()
+    slope = (x - x.mean(axis=0)).T @ (y - y.mean() - (x - x.mean(axis=0)) @ b) / 600
+    assert b[1] == 0 and np.allclose(slope[[0, 2]], 0.5 * np.sign(b[[0, 2]])) and abs(slope[1]) <= 0.5
+    for kind in ("ridge", "lasso", "linear_regression"):
+        tuned = tune_regressor(df, df, kind, ["a", "b", "c"], "t", n_folds=3)
+        for setting, score in tuned.trials:
+            errors = []
+            for f in range(3):
+                part = LimitRegressor(kind, ["a", "b", "c"], "t", **setting).fit(df.where(f"fold < {f}"))
+                errors.append(part.transform(df.where(f"fold = {f}")).select(F.sqrt(F.avg((F.col("raw_limit") - F.col("t")) ** 2))).first()[0])
+            assert abs(score - np.mean(errors)) < 1e-8
+    boosted = tune_regressor(df, None, "lightgbm", ["a", "b", "c"], "t", {"n_estimators": [2, 4], "max_depth": [2, 3]}, n_folds=2, together=3)
+    alone = LimitRegressor("lightgbm", ["a", "b", "c"], "t", n_estimators=2, max_depth=3).fit(df.where("fold < 1")).transform(df.where("fold = 1"))
+    first = LimitRegressor("lightgbm", ["a", "b", "c"], "t", n_estimators=2, max_depth=3).fit(df.where("fold < 0")).transform(df.where("fold = 0"))
+    want = np.mean([d.select(F.sqrt(F.avg((F.col("raw_limit") - F.col("t")) ** 2))).first()[0] for d in (first, alone)])
+    assert len(boosted.trials) == 4 and abs(dict((tuple(s.values()), v) for s, v in boosted.trials)[2, 3] - want) < 1e-9
+
+
+def test_boosted_tuning_shares_fits(featured):
+    """Settings that differ in the number of trees are scored from one fit, as if each were fitted alone."""
+    pre, table = featured
+    train = with_time_folds(table.where("split = 'train'"), 2)
+    names = pre.nominal_outputs[:6]       # two values each: the same cuts for any rows
+    tuned = tune_classifier(train, None, "lightgbm", names, RISK, {"n_estimators": [1, 3], "max_depth": [2]}, ("none", "auto"), n_folds=2)
+    assert len(tuned.trials) == 4
+    for setting, score in tuned.trials:
+        alone = [summarize(RiskClassifier("lightgbm", names, RISK, **setting).fit(train.where(f"fold < {f}")).transform(train.where(f"fold = {f}")), RISK, "prediction").first()["weighted_f1"]
+                 for f in range(2)]
+        assert abs(score - sum(alone) / 2) < 1e-9
+
+
 def test_build_tables_round_trip(spark, tmp_path):
     sizes = prepare.build_tables(tables.loans(spark, SMALL), str(tmp_path))
     written = spark.read.parquet(str(tmp_path / "splits"))
