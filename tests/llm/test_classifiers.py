@@ -73,3 +73,76 @@ def test_language_of_awkward_rows(spark):
     assert language.identify(frame.limit(0), F.lit(True)).count() == 0
     kept = language.keep_identified(clashing(frame), F.lit(True))
     assert kept.columns == clashing(frame).columns and kept.count() == frame.count() - 4
+
+
+def plain_language(text, model):
+    """Family and language with dictionaries and plain sums, for one text."""
+    counts = {}
+    data = f" {text.lower()} ".encode()
+    kept = [b if b >= 0x80 or ord("a") <= b <= ord("z") else 32 for b in data]
+    for a, b, c in zip(kept, kept[1:], kept[2:]):
+        if b != 32:
+            place = (((a << 16 | b << 8 | c) * 2654435761) % 2**32) >> 21
+            counts[place] = counts.get(place, 0) + 1
+    length = sum(counts.values()) ** 0.5
+    x = {k: n ** 0.5 / length for k, n in counts.items()}
+    margin = lambda machine: sum(v * float(machine[0][k]) for k, v in x.items()) + machine[1]
+    sure = lambda m: 1 / (1 + np.exp(-min(50, max(-50, 4 * m))))
+    margins = {f: margin(model.families[f]) if len(model.languages) > 1 else 10.0 for f in model.languages}
+    best = max(margins, key=margins.get)
+    codes = model.languages[best]
+    if len(codes) == 1:
+        return codes[0], sure(margins[best])
+    votes, sums = dict.fromkeys(codes, 0), dict.fromkeys(codes, 0.0)
+    for (a, b), machine in model.pairs.items():
+        if a in votes:
+            m = margin(machine)
+            for code, own in ((a, m), (b, -m)):
+                votes[code] += own > 0
+                sums[code] += min(2, max(-2, own))
+    won = max(codes, key=lambda c: votes[c] + 1e-3 * sums[c])
+    return won, sure(margins[best]) * sure(sums[won] / (len(codes) - 1))
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_language_query_equals_plain_machines(spark, folder):
+    from loanframe.llm.common import remainder
+
+    frame = table(spark, folder, "documents")
+    model = language.fit(frame.filter(remainder("doc_id", 5) != 0).select("doc_id", "lang", "text"))
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    for r in op7_language(spark, folder).collect():
+        text = texts[r.doc_id]
+        if not text or not language.LETTER.search(text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        lang, score = plain_language(text, model)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-4), (r, lang, score)
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_quality_query_equals_a_walk_by_hand(spark, folder):
+    from loanframe.llm.common import remainder
+
+    frame, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    trees = quality.fit(frame, labels.filter(remainder("doc_id", 4) != 2), "quality")
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    for r in op1_quality(spark, folder).collect():
+        row, total = quality.statistics(texts[r.doc_id]), float(trees.base)
+        for f, c, leaf in zip(trees.feature, trees.cut, trees.leaf):
+            node = 0
+            while node < len(f):
+                node = 2 * node + (2 if row[f[node]] > c[node] else 1)
+            total += leaf[node - len(f)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9) and r.predicted == (r.score >= 0.7)
+    text = "One two two.\nOne two two.\n\nA! B"
+    own = dict(zip(quality.STATISTICS, quality.statistics(text))) if not isinstance(quality.STATISTICS, int) else {}
+    assert len(quality.statistics(text)) == len(quality.STATISTICS) and all(np.isfinite(list(own.values())))
+
+
+def test_texts_of_one_id_stay_within_the_sample(spark):
+    """Labelled ids that stand in many rows, and many rows of one draw, do not exceed the bound."""
+    frame = spark.createDataFrame([(1, f"some text number {i}", "en", "a", 3) for i in range(60)] + [(2, "anderer Text hier", "de", "a", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert 0 <= quality.scores(frame, quality.fit(frame, labels, "quality", at_most=5)).first().score <= 1
+    assert language.fit(frame, at_most=5) is not None

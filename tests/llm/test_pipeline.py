@@ -56,3 +56,23 @@ def test_documents_without_any_language_stay(spark):
     out = corpus_pipeline.identified(spark, docs, FOLDER)
     assert out.columns == docs.columns
     assert sorted(map(repr, out.collect())) == sorted(map(repr, docs.filter("doc_id in (0, 4, 5)").collect()))
+
+
+def test_run_on_awkward_tables(spark, tmp_path):
+    """No rows; repeated rows, ids shared and missing, null and long texts; and columns under names the stages use."""
+    from pyspark.sql import functions as F
+
+    schema = table(spark, FOLDER, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema
+    a, b = " ".join(f"word{i} of" for i in range(300)), " ".join(f"other{i} the" for i in range(300))
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, b, "en", None, 1), (2, a, None, "s", 1), (None, b + " more", "en", "t", 1), (None, None, None, None, None),
+            (3, "", "en", "s", 0), (4, "12 34", "en", "s", 0), (5, LONG, "en", "t", len(LONG)), (5, LONG, "en", "t", len(LONG))]
+    given = spark.createDataFrame(rows, schema)
+    names = ["digest", "keep_id", "row", "root", "fingerprint", "id_text", "mix_size", "copy", "length", "piece", "full", "lang_pred", "score"]
+    results = {}
+    for name, frame in (("empty", given.limit(0)), ("rows", given), ("clash", given.withColumns({n: F.lit("x") for n in names}))):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        results[name] = sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect())
+    assert results["empty"] == [] and results["rows"] == results["clash"]
+    # of the equal texts a the largest id stays, of the near copies b that with an id; texts without a letter go
+    kept = {plain for i, text in ((2, a), (1, b), (5, LONG)) for plain in [(str(i), *p[1:]) for p in plain_pieces([(i, text)])]}
+    assert set(results["rows"]) <= kept and {r[0] for r in results["rows"]} <= {"1", "2", "5"} and results["rows"]
