@@ -1,4 +1,11 @@
-"""The corpus pipeline: what language ID rejects goes, then copies and near copies; the rest is mixed and packed."""
+"""The corpus pipeline: what language ID rejects goes, then copies and near copies; the rest is mixed and packed.
+
+Defined results: null and empty texts, and texts without a letter, go in the first stage; a long text is one document and
+is read as a whole; of rows equal in text the one with the largest doc_id stays, of near copies the one with the smallest,
+rows without id come last in both and rows that share an id are decided by id and text; repeated rows count once from the
+second stage on; sources, null ones too, are mixed by what is left of them; an empty table gives an empty result; further
+columns pass through all stages but the last, whatever their names, and none of them is read.
+"""
 
 from __future__ import annotations
 
