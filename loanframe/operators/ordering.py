@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from loanframe.functions.fields import quoted, shuffle_key
 
 RANGES = 2048            # ranges per refinement pass
+SKETCH = 10_000          # accuracy of the sketch that brackets quantiles: ranks are off by a 10 000th of the rows
 LEAF_VALUES = 50_000     # distinct values that may be finished in one task
 ROWS_PER_RANGE = 1_000_000
 SMALL_TABLE = 200_000    # rows up to which a lookup table is broadcast
@@ -173,47 +174,79 @@ def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     shares: list[float],
-    max_values: int = 1_000_000,
+    max_values: int = 5_000_000,
     min_rows: int = 1,
 ) -> dict[str, list[float] | None]:
-    """Linearly interpolated quantiles of several columns.
+    """Linearly interpolated quantiles of several columns, all columns together.
 
-    ``percentile`` keeps one counter per distinct value in one buffer, so it is
-    used only for columns whose distinct count is bounded; the others are
-    narrowed down range by range.  A column with fewer than ``min_rows`` values
-    gives ``None``.
+    A mergeable sketch brackets every wanted rank in one scan.  A second one counts the rows below and inside each bracket,
+    a third keeps the values inside, merged map-side: a few ten-thousandths of the rows per bracket.  What the counts prove
+    is exact, whatever the sketch; a bracket that misses its rank, or holds over ``max_values`` rows, is narrowed down range
+    by range instead.  A column with fewer than ``min_rows`` values gives ``None``.
     """
     if not columns:
         return {}
-    sizes = df.agg(*[
-        f(quoted(c)).alias(f"{tag}{i}")
-        for i, c in enumerate(columns)
-        for tag, f in (("n", F.count), ("d", F.approx_count_distinct))
-    ]).first()
-    out: dict[str, list[float] | None] = {}
-    narrow, wide = [], []
+    value = [quoted(c).cast("double") for c in columns]
+    ends = [min(1.0, max(0.0, s + side * 2.0 / SKETCH)) for s in shares for side in (-1, 1)]
+    seen = df.agg(*[f.alias(f"{tag}{i}") for i, v in enumerate(value) for tag, f in (
+        ("n", F.count(v)), ("a", F.min(v)), ("z", F.max(v)), ("q", F.percentile_approx(v, F.array(*[F.lit(e) for e in ends]), F.lit(SKETCH))))]).first()
+    out: dict[str, list[float] | None] = {c: None for i, c in enumerate(columns) if seen[f"n{i}"] < max(1, min_rows)}
+    brackets = []
     for i, c in enumerate(columns):
-        if sizes[f"n{i}"] < min_rows:
-            out[c] = None
-        else:
-            (narrow if sizes[f"d{i}"] <= max_values else wide).append((i, c))
-    if narrow:
-        row = df.agg(*[
-            F.percentile(quoted(c).cast("double"), F.array(*[F.lit(float(s)) for s in shares])).alias(f"q{i}")
-            for i, c in narrow
-        ]).first()
-        out.update({c: [float(x) for x in row[f"q{i}"]] for i, c in narrow})
-    for i, c in wide:
-        positions = [s * (sizes[f"n{i}"] - 1) for s in shares]
+        for j, s in enumerate(shares if c not in out else []):
+            n = seen[f"n{i}"]
+            whole = n <= 2 * SKETCH                                   # the slack of the sketch is less than a rank or so
+            low = seen[f"a{i}"] if whole or ends[2 * j] <= 0 else seen[f"q{i}"][2 * j]
+            high = seen[f"z{i}"] if whole or ends[2 * j + 1] >= 1 else seen[f"q{i}"][2 * j + 1]
+            brackets.append((i, j, low, high, s * (n - 1)))
+    found: dict[tuple[int, int], float] = {}
+    if brackets:
+        parts = list(dict.fromkeys((i, low, high) for i, _, low, high, _ in brackets))     # shares of a small column have one
+        counts = df.agg(*[f.alias(f"{tag}{k}") for k, (i, low, high) in enumerate(parts) for tag, f in (
+            ("b", F.count_if(value[i] < F.lit(low))), ("m", F.count_if((value[i] >= F.lit(low)) & (value[i] <= F.lit(high)))))]).first()
+        ranks: dict[int, set[int]] = {}
+        for i, j, low, high, position in brackets:
+            k = parts.index((i, low, high))
+            for r in {math.floor(position), math.ceil(position)}:
+                if counts[f"b{k}"] <= r < counts[f"b{k}"] + counts[f"m{k}"] and counts[f"m{k}"] <= max_values:
+                    ranks.setdefault(k, set()).add(r)
+        found = _values_at(df, value, parts, {k: (counts[f"b{k}"], sorted(r)) for k, r in ranks.items()})
+    for i, c in enumerate(columns):
+        if c in out:
+            continue
+        positions = [s * (seen[f"n{i}"] - 1) for s in shares]
         wanted = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
-        found = order_statistics(df, c, [(None, r) for r in wanted])
+        missing = [(None, r) for r in wanted if (i, r) not in found]
+        for (_, r), v in (order_statistics(df, c, missing) if missing else {}).items():
+            found[i, r] = float(v)
         values = []
         for p in positions:
             low, high = math.floor(p), math.ceil(p)
-            a, b = float(found[(None, low)]), float(found[(None, high)])
+            a, b = found[i, low], found[i, high]
             values.append(a if low == high or a == b else (high - p) * a + (p - low) * b)
         out[c] = values
-    return out
+    return {c: out[c] for c in columns}
+
+
+def _values_at(df: DataFrame, value: list[Column], parts: list[tuple], ranks: dict[int, tuple[int, list[int]]]) -> dict[tuple[int, int], float]:
+    """The values at the wanted ranks of each bracket (column, lowest, highest value): {(column, rank): value}.
+
+    ``ranks`` has per bracket the rows below it and the ranks.
+    """
+    if not ranks:
+        return {}
+    spark = df.sparkSession
+    inside = F.filter(F.array(*[
+        F.when((value[parts[k][0]] >= F.lit(parts[k][1])) & (value[parts[k][0]] <= F.lit(parts[k][2])), F.struct(F.lit(k).alias("k"), value[parts[k][0]].alias("v")))
+        for k in ranks
+    ]), lambda x: x.isNotNull())
+    merged = df.select(F.explode(inside).alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    wanted = spark.createDataFrame([(k, r, r - before) for k, (before, own) in ranks.items() for r in own], "k int, r bigint, inner bigint")
+    so_far = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = merged.withColumn("upto", F.sum("n").over(so_far))
+    # as many rows as ranks: a few per column
+    hit = totals.join(F.broadcast(wanted), "k").where((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("n")))
+    return {(parts[r["k"]][0], r["r"]): float(r["v"]) for r in hit.select("k", "r", "v").collect()}
 
 
 # ----------------------------------------------------------------------- running sums

@@ -56,6 +56,26 @@ def test_exact_quantiles_both_ways(spark):
         np.testing.assert_allclose(got["v"], want, rtol=1e-12)
 
 
+def test_quantiles_of_many_columns_by_brackets(spark, monkeypatch):
+    """Ties, few and many values, infinities; brackets that hold a rank, miss it or hold too much give the same."""
+    n = 30_000
+    columns = {
+        "a": [RNG.gauss(0, 1) for _ in range(n)], "b": [float(RNG.choice([0, 0, 0, 1, 7])) for _ in range(n)], "c": [None if RNG.random() < 0.5 else RNG.random() for _ in range(n)],
+        "d": [RNG.choice([-math.inf, math.inf, RNG.random()]) for _ in range(n)], "e": [float(i) for i in range(n)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(4)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    for sketch, most in ((10_000, 10**6), (200, 10**6), (200, 50)):
+        monkeypatch.setattr(O, "SKETCH", sketch)
+        got = O.exact_quantiles(df, list(columns), shares, max_values=most)
+        for c, values in columns.items():
+            own = np.sort([v for v in values if v is not None])
+            for s, v in zip(shares, got[c]):
+                p = s * (len(own) - 1)
+                a, b = own[math.floor(p)], own[math.ceil(p)]
+                assert v == (a if a == b else (math.ceil(p) - p) * a + (p - math.floor(p)) * b) or abs(v - (a + (b - a) * (p - math.floor(p)))) < 1e-12, (c, s)
+
+
 def test_running_sums_by_ranges(spark):
     rows = [(k, v, RNG.randint(0, 9)) for k in "ab" for v in RNG.sample(range(10**6), 500)]
     df = spark.createDataFrame(rows, "k string, v int, n int").repartition(6)
