@@ -242,3 +242,36 @@ def test_build_tables_round_trip(spark, tmp_path):
     from pyspark.sql.types import StructType
 
     assert tables.read_loans(spark, csv, "csv", StructType.fromDDL(schema)).where("dti is not null").count() == tables.loans(spark, SMALL).where("dti is not null").count()
+
+
+def test_fitted_queries_run_to_the_end(spark, monkeypatch):
+    """The fitted queries with few and small trees: their rows, their probabilities, their metrics within their range.
+
+    The two that resample are left to the tests of the chain, as their cleaning takes a minute each.
+    """
+    from loanframe.operators import classify, regress, selection
+
+    for table, small in ((classify.DEFAULTS, {"n_estimators": 2, "max_depth": 2, "max_iter": 5}), (regress.DEFAULTS, {"n_estimators": 2, "max_depth": 2})):
+        for kind, own in table.items():
+            monkeypatch.setitem(table, kind, {**own, **{k: v for k, v in small.items() if k in own}})
+    fit = selection.forest_importance
+    monkeypatch.setattr(selection, "forest_importance", lambda df, columns, label, n_trees=200, max_depth=None, seed=42: fit(df, columns, label, 2, 3, seed))
+    queries, n = catalog.queries(), tables.loans(spark, SMALL).count()
+    split_rows = prepare.labelled_splits(tables.loans(spark, SMALL)).count()
+    for name in ("gbt_scores", "forest_scores", "two_stage_scores"):
+        rows = queries[name](spark, SMALL).collect()
+        assert len(rows) == split_rows and all(abs(r.p0 + r.p1 + r.p2 + r.p3 - 1) < 1e-9 and r.prediction in (0, 1, 2, 3) for r in rows), name
+    assert all(r.raw_limit is not None and 0 <= r.capped_limit for r in queries["gbt_limits"](spark, SMALL).collect())
+    assert queries["batch_scoring"](spark, SMALL).count() == n
+    shapes = {"two_stage_evaluation": None, "grid_search": 18, "baseline_experiment": 3, "weight_mode_experiment": 3, "purification_experiment": 2,
+              "maturity_experiment": 16, "final_confusion": 16, "three_class_experiment": None, "limit_model_experiment": 4, "model_importance": 15,
+              "tree_attributions": None}
+    for name, count in shapes.items():
+        rows = queries[name](spark, SMALL).collect()
+        assert rows and count in (None, len(rows)), (name, len(rows))
+        for r in rows:
+            for key, v in r.asDict().items():
+                if key.endswith(("f1", "recall", "precision", "accuracy")) and v is not None:
+                    assert 0 <= v <= 1, (name, key, v)
+    whole = queries["final_confusion"](spark, SMALL).groupBy().sum("n").first()[0]
+    assert whole == prepare.labelled_splits(tables.loans(spark, SMALL)).where("split = 'test'").count()
