@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from loanframe.operators.blocks import Blocks, mixed, share, summed, unpacked
 from loanframe.operators.boosting import targets, walked
@@ -220,10 +220,29 @@ def _split_upper(tree: Upper, t: int, i: int, tried: np.ndarray, found: np.ndarr
 
 
 def fit_forest(blocks: Blocks, features: list[str], fit: Forest) -> TreeModel:
+    """The whole forest; its nodes meet on the driver, a few numbers each."""
+    trees, grown = _grown(blocks, len(features), fit)
+    return _assembled({(r["tree"], r["node"]): r for r in grown.collect()}, trees, blocks, features, fit)
+
+
+def forest_gains(blocks: Blocks, n_features: int, fit: Forest) -> np.ndarray:
+    """Share of the gain per feature, averaged over the trees: what is left of the nodes are sums of bounded size."""
+    trees, grown = _grown(blocks, n_features, fit, only_gains=True)
+    gains = np.zeros((fit.n_trees, n_features))
+    for t, tree in enumerate(trees):
+        np.add.at(gains[t], np.array(tree.feature, np.int64), np.where(np.array(tree.left) >= 0, np.array(tree.gain), 0.0))
+    for r in grown.collect():
+        gains[r["tree"]] += np.frombuffer(r["gain"])
+    split = gains[gains.sum(axis=1) > 0]
+    shares = (split / split.sum(axis=1, keepdims=True)).sum(axis=0)
+    return shares / shares.sum() if len(split) else shares
+
+
+def _grown(blocks: Blocks, n_features: int, fit: Forest, only_gains: bool = False) -> tuple[list[Upper], DataFrame]:
+    """The upper nodes of all trees, and the finished subtrees as rows (tree, node, arrays), or the gains of each subtree."""
     trees = _grow_upper(blocks, fit)
     uppers = [tree.arrays() for tree in trees]
     paths = [(np.array(tree.path, np.uint64), np.array(tree.depth, np.int64)) for tree in trees]
-    n_features = len(features)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows of each open node, and how often the tree takes them."""
@@ -245,20 +264,24 @@ def fit_forest(blocks: Blocks, features: list[str], fit: Forest) -> TreeModel:
         x = np.concatenate([np.frombuffer(p[1], np.uint8).reshape(n_features, p[0]) for p in parts], axis=1)
         y, w = np.concatenate([np.frombuffer(p[2], np.uint8) for p in parts]), np.concatenate([np.frombuffer(p[3], float) for p in parts])
         own = grow(x, y.astype(np.int64), w, fit, t, int(paths[t][0][i]), int(paths[t][1][i]))
+        key = {"tree": pa.array([t], pa.int32()), "node": pa.array([i], pa.int32())}
+        if only_gains:
+            split = own["left"] >= 0
+            return pa.table(key | {"gain": pa.array([np.bincount(own["feature"][split], own["gain"][split], n_features).astype(float).tobytes()], pa.binary())})
         leaf = own["left"] < 0
         distinct, which = np.unique(own["shares"][leaf], axis=0, return_inverse=True)
         value = np.zeros(len(leaf), np.int32)
         value[leaf] = which.ravel()
         held = {"feature": own["feature"].astype(np.int16), "bin": own["bin"].astype(np.uint8), "left": own["left"].astype(np.int32), "value": value,
                 "gain": own["gain"].astype(np.float32), "cover": own["cover"].astype(np.float32), "leaves": distinct}
-        return pa.table({"tree": pa.array([t], pa.int32()), "node": pa.array([i], pa.int32()), **{name: pa.array([v.tobytes()], pa.binary()) for name, v in held.items()}})
+        return pa.table({**key, **{name: pa.array([v.tobytes()], pa.binary()) for name, v in held.items()}})
 
     spark = blocks.frame.sparkSession
-    names = ["feature", "bin", "left", "value", "gain", "cover", "leaves"]
+    names = ["gain"] if only_gains else ["feature", "bin", "left", "value", "gain", "cover", "leaves"]
     sent = blocks.frame.mapInArrow(send, "tree int, node int, n bigint, x binary, y binary, w binary")
     tasks = max(1, min(sum(int((u[2] < 0).sum()) for u in uppers), max(4 * spark.sparkContext.defaultParallelism, blocks.n * fit.n_trees * (n_features + 9) // GROUP_BYTES)))
-    grown = sent.repartition(tasks, F.xxhash64("tree", "node")).groupBy("tree", "node").applyInArrow(finish, "tree int, node int, " + ", ".join(f"{n} binary" for n in names))
-    return _assembled({(r["tree"], r["node"]): r for r in grown.collect()}, trees, blocks, features, fit)
+    rows = sent.repartition(tasks, "tree", "node").groupBy("tree", "node")
+    return trees, rows.applyInArrow(finish, "tree int, node int, " + ", ".join(f"{n} binary" for n in names))
 
 
 TYPES = {"feature": np.int16, "bin": np.uint8, "left": np.int32, "value": np.int32, "gain": np.float32, "cover": np.float32}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loanframe.functions.fields import quoted
 from loanframe.operators.blocks import make_blocks
-from loanframe.operators.forest import Forest, fit_forest
+from loanframe.operators.forest import Forest, forest_gains
 from loanframe.operators.weighting import balanced_weights, weight_column
 
 VECTOR = "__features"
@@ -71,9 +71,9 @@ def forest_importance(
     classes = sorted(weights)
     order = F.array_position(F.array(*[F.lit(c) for c in classes]), quoted(label).cast("int")) - 1
     blocks = make_blocks(df, columns, order)
-    forest = fit_forest(blocks, columns, Forest(len(classes), n_trees, max_depth, class_weights=[weights[c] for c in classes], seed=seed))
+    gains = forest_gains(blocks, len(columns), Forest(len(classes), n_trees, max_depth, class_weights=[weights[c] for c in classes], seed=seed))
     blocks.release()
-    return sorted(zip(columns, forest.importance().tolist()), key=lambda p: (-p[1], p[0]))
+    return sorted(zip(columns, gains.tolist()), key=lambda p: (-p[1], p[0]))
 
 
 class FeatureSelector(Estimator):

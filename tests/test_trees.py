@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loanframe.operators.blocks import binned, feature_cuts, make_blocks
 from loanframe.operators.boosting import Fit, fit_boosted
-from loanframe.operators.forest import Forest, fit_forest, gini_gain, grow
+from loanframe.operators.forest import Forest, fit_forest, forest_gains, gini_gain, grow
 from loanframe.operators.treemodel import TreeModel
 
 COLUMNS = ["a", "b", "c"]
@@ -165,6 +165,8 @@ def test_unbounded_forest_is_the_same_wherever_nodes_are_finished(table):
     x, y, _, _, blocks = table
     cells = binned(list(x.T), blocks.cuts)
     whole = fit_forest(blocks, COLUMNS, Forest(3, 5))
+    for rows in (10**6, 40):
+        np.testing.assert_allclose(forest_gains(blocks, 3, Forest(3, 5, task_rows=rows)), whole.importance(), rtol=1e-5)
     for rows in (300, 40, 5):
         other = fit_forest(blocks, COLUMNS, Forest(3, 5, task_rows=rows))
         np.testing.assert_allclose(other.margins(cells), whole.margins(cells))
