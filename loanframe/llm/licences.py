@@ -198,9 +198,10 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
     drawn = usable.filter(draw < 1.2 * at_most / max(1, n))
     # the last paragraph drawn is found on numbers alone; equal ones count once, so that what is kept is bounded
     last = drawn.select(draw.alias("turn")).orderBy("turn").limit(at_most).agg(F.max("turn")).first()[0]
-    others = drawn.filter(draw <= F.lit(last)).select(F.slice(words(F.col("paragraph")), 1, LONGEST).alias("words")).distinct()
-    likeness = F.array_max(_likeness(F.col("words")))
-    others = stored(others.filter(F.coalesce(likeness, F.lit(0.0)) < ALIKE / 2))
+    # stored as words: else every pair of every template would take the paragraph apart again
+    others = stored(drawn.filter(draw <= F.lit(last)).select(F.slice(words(F.col("paragraph")), 1, LONGEST).alias("words")).distinct())
+    pairs = stored(others.select("words", _pairs(F.col("words")).alias("pairs")))
+    others = stored(pairs.filter(F.coalesce(F.array_max(_shares(F.col("pairs"))), F.lit(0.0)) < ALIKE / 2).select("words"))
     rows = stored(_terms(_variants(spark, others).withColumn("label", F.col("label").cast("double"))).select("label", "features", "words"))
     learn = hash_share("words", seed=59) < 0.8
     # every family weighs the same, whatever its number of templates, and all of them together as much as the rest
@@ -227,7 +228,11 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
 
 def _likeness(of: Column) -> Column:
     """Share of each template's word pairs that stand among the given words, in the order of TEMPLATES."""
-    own = _pairs(of)
+    return _shares(_pairs(of))
+
+
+def _shares(own: Column) -> Column:
+    """The same from pairs."""
     wanted = [[f"{a} {b}" for a, b in zip(w, w[1:])] for w in (_plain_words(t) for _, t in TEMPLATES)]
     return F.array(*[F.size(F.array_intersect(own, F.array(*[F.lit(p) for p in pairs]))) / F.lit(float(len(set(pairs)))) for pairs in wanted])
 
