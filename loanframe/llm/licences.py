@@ -261,19 +261,25 @@ def hits(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
     passed = F.col("alone").isNotNull() & (F.col("k") > 0) & (F.col("chance") >= limit)
     named = F.array(*[F.lit(FAMILIES.index(f)) for f, _ in TEMPLATES])
     own = lambda c: F.zip_with(c, named, lambda x, f: F.when(f == F.col("k"), x).otherwise(-1.0))
-    alike = [F.when(passed, _likeness(F.col(c))).alias(n) for c, n in (("words", "here"), ("wide", "around"))]
-    scored = scored.select("rid", "doc_id", "alone", "words", "at", "k", "chance", *alike).withColumn("likeness", F.array_max(own(F.col("here"))))
+    # what passed is few rows: each step is stored, so that no comparison with the templates is made twice
+    kept = stored(scored.select("rid", "doc_id", F.when(passed, F.struct("alone", "words", "at", "wide", "k", "chance")).alias("u")))
+    alike = [_shares(F.col(c)).alias(n) for c, n in (("own", "here"), ("beside", "around"))]
+    scored = stored(kept.filter("u is not null").select("rid", "doc_id", "u.*").withColumns({"own": _pairs(F.col("words")), "beside": _pairs(F.col("wide"))}))
+    scored = stored(scored.select("rid", "doc_id", "alone", "words", "at", "k", "chance", *alike)).withColumn("likeness", F.array_max(own(F.col("here"))))
     scored = scored.withColumns({"which": F.array_position(own(F.col("here")), F.col("likeness")) - 1, "most": F.array_max(own(F.col("around")))})
     other = F.exists(F.arrays_zip("here", "around", named.alias("f")), lambda t: (t["f"] != F.col("k")) & (t["here"] >= F.col("likeness")) & (t["around"] > F.col("most")))
-    fine = F.coalesce((F.col("likeness") >= ALIKE) & ~other, F.lit(False))
+    scored = stored(scored.withColumn("fine", F.coalesce((F.col("likeness") >= ALIKE) & ~other, F.lit(False))))
+    fine = F.col("fine")
     where = F.lit(None).cast("struct<first:int,last:int>")
     for k in range(len(TEMPLATES)):
         where = F.when(fine & (F.col("which") == k), _stand(F.col("words"), k)).otherwise(where)
     family = F.array(*[F.lit(f) for f in FAMILIES])[F.col("k")]
-    scored = scored.withColumn("where", where)
-    return scored.select("rid", "doc_id", *[F.when(fine, c).alias(n) for n, c in (
+    scored = stored(scored.withColumn("where", where))
+    found = scored.select("rid", "doc_id", *[F.when(fine, c).alias(n) for n, c in (
         ("alone", F.col("alone")), ("line", F.col("at")[F.col("where.first")]), ("last", F.col("at")[F.col("where.last")]), ("family", family),
         ("chance", F.col("chance")), ("likeness", F.col("likeness")))])
+    others = kept.filter("u is null").select("rid", "doc_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields[2:]])
+    return found.unionByName(others)
 
 
 def _number(of: Column) -> Column:
