@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanframe.operators.blocks import binned, feature_cuts, make_blocks
-from loanframe.operators.boosting import Fit, fit_boosted
+from loanframe.operators.boosting import BUNDLE, Fit, bundles, fit_boosted, node_histograms, walked
 from loanframe.operators.forest import Forest, fit_forest, forest_gains, gini_gain, grow
 from loanframe.operators.treemodel import TreeModel
 
@@ -184,3 +184,39 @@ def test_grow_on_awkward_rows():
     xor = np.array([[0, 0, 1, 1], [0, 1, 0, 1]], np.uint8)
     done = grow(xor, np.array([0, 1, 1, 0]), np.ones(4), fit, 0, 1, 0)
     assert (done["left"] < 0).sum() == 4 and set(done["shares"][done["left"] < 0].max(axis=1)) == {1.0}
+
+
+def test_grow_does_not_depend_on_the_order_of_rows():
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.integers(0, b, 4000) for b in (250, 2, 7, 2, 90)]).astype(np.uint8)
+    y, w = rng.integers(0, 3, 4000), rng.integers(1, 4, 4000) * np.array([0.1, 1 / 3, 2.7])[rng.integers(0, 3, 4000)]
+    one, turn = grow(x, y, w, Forest(3), 4, 1, 0), rng.permutation(4000)
+    other = grow(x[:, turn], y[turn], w[turn], Forest(3), 4, 1, 0)
+    assert all(np.array_equal(one[name], other[name]) for name in one)
+
+
+def test_bundled_histograms_equal_those_of_single_features():
+    rng = np.random.default_rng(6)
+    bins = np.array([2, 255, 2, 6, 2, 256, 1, 14, 2, 2, 2, 2])
+    x = np.stack([rng.integers(0, b, 3000) for b in bins]).astype(np.uint8)
+    g, h, node, used = rng.normal(size=3000), rng.random(3000), rng.integers(0, 5, 3000), rng.random(3000) < 0.8
+    parts = bundles(bins)
+    assert sorted(f for p in parts for f in p) == list(range(len(bins))) and len(parts) < len(bins) / 2
+    assert all(len(p) == 1 or np.prod(bins[p]) <= BUNDLE for p in parts)
+    got = node_histograms(x, g, h, node, used, [1, 3, 4], 5, bins)
+    want = np.zeros(got.shape)
+    for i, n in enumerate((1, 3, 4)):
+        at = 0
+        for f, b in enumerate(bins.tolist()):
+            rows = (node == n) & used
+            want[:, i, at:at + b] = [np.bincount(x[f, rows], v[rows], b) for v in (g, h, np.ones(3000))]
+            at += b
+    np.testing.assert_allclose(got, want, rtol=1e-10, atol=1e-10)
+
+
+def test_a_walk_goes_on_from_where_rows_have_been():
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 9, (2, 500)).astype(np.uint8)
+    small = (np.array([0, 0, 0]), np.array([4, 0, 0]), np.array([1, -1, -1]))
+    large = (np.array([0, 0, 1, 0, 0]), np.array([4, 0, 2, 0, 0]), np.array([1, -1, 3, -1, -1]))
+    np.testing.assert_array_equal(walked(x, large, walked(x, small)), walked(x, large))
