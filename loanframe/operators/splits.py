@@ -65,8 +65,11 @@ def cuts_at(df: DataFrame, ranks: list[int], counts: list | None = None, key: st
                 break
             seen += row["n"]
         places.append(place)
+    months = sorted({p[0] for p in places if p})
     dated = df.select(month(df, "issue_d").alias("issue_month"), quoted(key).alias("key"))
+    dated = dated.where(F.col("issue_month").isin(months)).persist()        # several passes, so that what is below is read once
     found = order_statistics(dated, "key", [p for p in places if p], group="issue_month")
+    dated.unpersist()
     return [Cut(p[0], found[p]) if p else Cut(None, None) for p in places]
 
 

@@ -238,24 +238,35 @@ def _train_rows(split):
     return split.where(F.col("split") == "train")
 
 
+def _kept_train(split):
+    """The features of the training rows, kept for the passes of a fit, so that the tables are joined and sent about once."""
+    return _train_rows(split).select(*[quoted(c) for c in features.allowed_columns(split)]).persist()
+
+
 def imputer_fit(spark, folder):
-    *_, fills = _fill_state(_train_rows(_split(spark, folder)))
+    train = _kept_train(_split(spark, folder))
+    *_, fills = _fill_state(train)
+    train.unpersist()
     rows = [(c, None if isinstance(v, str) else round(v, 6), v if isinstance(v, str) else None) for c, v in fills.items()]
     return spark.createDataFrame(rows, "feature string, fill_number double, fill_text string")
 
 
 def imputed_rows(spark, folder):
     split = _split(spark, folder)
-    continuous, categorical, _, fills = _fill_state(_train_rows(split))
+    train = _kept_train(split)
+    continuous, categorical, _, fills = _fill_state(train)
+    train.unpersist()
     filled = features.imputed(split, fills, continuous, categorical)
     return _rounded(split.select("id", *[v.alias(c) for c, v in filled.items()]), 6, *[c for c in continuous if c not in EXACT])
 
 
 def _bounds(split):
-    train = _train_rows(split)
+    train = _kept_train(split)
     continuous, categorical, _, fills = _fill_state(train)
     filled = train.select(*[v.alias(c) for c, v in features.imputed(train, fills, continuous, []).items()])
-    return continuous, fills, features.fit_bounds(filled, continuous)
+    bounds = features.fit_bounds(filled, continuous)
+    train.unpersist()
+    return continuous, fills, bounds
 
 
 def iqr_bounds(spark, folder):

@@ -75,3 +75,37 @@ def test_selection_order_matters(spark):
     pca = S.FeatureSelector(names, "y", top_k=2, n_trees=5, pca_share=0.95).fit(df)
     out = pca.transform(df)
     assert pca.outputs[0] == "pca_component_001" and out.agg(F.avg("pca_component_001")).first()[0] == pytest.approx(0, abs=1e-8)
+
+
+def test_fits_of_the_catalog_read_their_table_once(spark, table, monkeypatch):
+    from loanframe.plans import catalog
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    split = table.repartition(2).withColumn("dti", seen("dti")).withColumn("split", F.lit("train"))
+    want = catalog._bounds(table.withColumn("split", F.lit("train")))
+    got = catalog._bounds(split)
+    assert (got[1], got[2]) == (want[1], want[2]) and read.value == 60
+    monkeypatch.setattr(catalog, "_split", lambda spark, folder: split)
+    assert catalog.imputer_fit(spark, "").count() == 5 and read.value == 120
+
+
+def test_a_boundary_month_is_read_once(spark):
+    from loanframe.operators.splits import cuts_at
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(v):
+        read.add(1)
+        return v
+
+    rows = spark.createDataFrame([(i, f"{('Jan', 'Feb', 'Mar')[i % 3]}-2020") for i in range(300)], "id bigint, issue_d string").repartition(2)
+    counts = [{"issue_month": m, "n": 100} for (m,) in rows.selectExpr("to_date(issue_d, 'MMM-yyyy') m").distinct().orderBy("m").collect()]
+    cuts = cuts_at(rows.withColumn("id", seen("id")), [30, 130], counts)
+    assert [c.key for c in cuts] == [90, 91] and read.value <= 300
