@@ -6,8 +6,8 @@ Boosted trees score these by their format and their context.  No table marks suc
 base patterns know with its tell-tale taken away: base phone numbers without plus sign and country, base addresses whatever
 their signs are written as, base cards regrouped.  They are told from the same digits in other layouts (dates, times,
 prices, lists, bare runs), from cards that fail their check, from addresses without a plausible ending, and from all
-candidates of the table that fail a check of their kind.  A bounded sample of all these is learned from; on the part that
-was held back the threshold of each kind is set so that the wanted share of what passes is right.  Base spans always stay;
+candidates of the table that fail a check of their kind.  All of these are learned from but a part, equal ones once with
+their number; on the part that was held back the threshold of each kind is set so that the wanted share of what passes is right.  Base spans always stay;
 a candidate that overlaps none of them and passes its threshold is added, also where it overlaps another one that is added.
 
 Everything runs as column expressions, windows and ``pyspark.ml`` trees.  Positions come from splitting the text at its
@@ -54,7 +54,6 @@ WORDS = {
 }
 # fixed values: endings that an address written in words may have; other words after "dot" are prose
 ENDINGS = "com org net edu gov mil int info biz io dev app co de fr es it uk eu us ch at nl be pl pt se no dk fi ie ca au nz jp cn in br mx".split()
-AT_MOST = 20_000       # candidates that the trees are fitted on
 PRECISION = 0.98       # wanted of what passes a threshold
 CONTEXT = 24           # characters before and after a candidate
 FEATURES = [
@@ -224,16 +223,22 @@ def _with_score(candidates: DataFrame, model: GBTClassificationModel) -> DataFra
     return model.transform(rows).withColumn("chance", vector_to_array("probability")[1])
 
 
-def fit(rows: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """The trees and the threshold per kind; None without right and wrong examples to learn from."""
-    rows = stored(bounded_sample(rows.withColumn("pick", F.xxhash64("kind", "start", *FEATURES)), at_most, "pick", seed=41))
-    learn = hash_share("pick", seed=43) < 0.7
+def fit(rows: DataFrame, at_most: int | None = None, precision: float = PRECISION) -> tuple[GBTClassificationModel, dict[str, float]] | None:
+    """The trees and the threshold per kind, from all rows if no bound is given; None without right and wrong examples to learn from.
+
+    Rows that look the same to the trees are one row that weighs as much as they are many.
+    """
+    rows = rows.withColumn("pick", F.xxhash64("kind", "start", *FEATURES))
+    rows = rows if at_most is None else bounded_sample(rows, at_most, "pick", seed=41)
+    rows = rows.withColumn("learn", hash_share("pick", seed=43) < 0.7)
+    rows = stored(rows.groupBy("learn", "kind", "label", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    learn = F.col("learn")
     if rows.filter(learn).select("label").distinct().count() < 2:
         return None
-    train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.filter(learn)).select("features", "label")
-    model = GBTClassifier(maxIter=12, maxDepth=4, maxBins=32, stepSize=0.3, seed=5).fit(train)
+    train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.filter(learn)).select("features", "label", "n")
+    model = GBTClassifier(maxIter=12, maxDepth=4, maxBins=32, stepSize=0.3, seed=5, weightCol="n").fit(train)
     counts = _with_score(rows.filter(~learn), model).groupBy("kind", F.floor(F.col("chance") * 50).cast("int").alias("step"))
-    counts = counts.agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()          # 4 kinds, 51 steps
+    counts = counts.agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()          # 4 kinds, 51 steps
     limits = {}
     for kind in KINDS:
         right = n = 0
@@ -246,7 +251,7 @@ def fit(rows: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION) -
     return model, limits
 
 
-def spans(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
+def spans(docs: DataFrame, at_most: int | None = None) -> DataFrame:
     """(rid, doc_id, kind, start, end, base) of all spans; a text without spans has one row of nulls."""
     found = stored(found_spans(docs))
     candidates = stored(candidates_of(found))       # so that no later step repeats the feature expressions
@@ -280,7 +285,7 @@ def _is_base_of(kind: str):
     return lambda s: s["base"] & (s["kind"] == kind)
 
 
-def redacted(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
+def redacted(docs: DataFrame, at_most: int | None = None) -> DataFrame:
     """doc_id and the text with every span replaced by its kind in brackets; spans that overlap become one.
 
     Spans meet their text by its digest, as equal texts have equal spans.

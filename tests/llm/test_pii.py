@@ -167,3 +167,23 @@ def test_main_path_has_no_python(spark):
     frame = table(spark, SMALL, "documents")
     plan = pii.summary(pii.spans(frame))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_thresholds_come_from_all_examples(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    # more examples than the 20 000 that were once sampled
+    rows = spark.range(30_000).select(
+        F.lit("phone").alias("kind"), F.col("id").alias("start"), (F.col("id") % 10 < 5).cast("double").alias("label"),
+        *[((F.col("id") % 10) if c == "digits" else F.lit(0)).cast("double").alias(c) for c in pii.FEATURES])
+    seen = {}
+    scored = pii._with_score
+
+    def counted(candidates, model):
+        seen["held"] = candidates.agg(F.sum("n")).first()[0]
+        return scored(candidates, model)
+
+    monkeypatch.setattr(pii, "_with_score", counted)
+    model, limits = pii.fit(rows)
+    assert "phone" in limits and 0.25 * 30_000 < seen["held"] < 0.35 * 30_000
+    assert model.getWeightCol() == "n"
