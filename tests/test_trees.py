@@ -220,3 +220,15 @@ def test_a_walk_goes_on_from_where_rows_have_been():
     small = (np.array([0, 0, 0]), np.array([4, 0, 0]), np.array([1, -1, -1]))
     large = (np.array([0, 0, 1, 0, 0]), np.array([4, 0, 2, 0, 0]), np.array([1, -1, 3, -1, -1]))
     np.testing.assert_array_equal(walked(x, large, walked(x, small)), walked(x, large))
+
+
+def test_small_tables_are_dealt_out_before_they_are_scored(spark):
+    from loanframe.operators.ordering import dealt_out
+
+    one = spark.range(100).coalesce(1).persist()
+    cores = spark.sparkContext.defaultParallelism
+    spread = dealt_out(one)
+    assert spread.rdd.getNumPartitions() >= cores and sorted(r.id for r in spread.collect()) == list(range(100))
+    many = spark.range(100).repartition(cores).persist()
+    assert dealt_out(many) is many
+    spread.unpersist(), many.unpersist()
