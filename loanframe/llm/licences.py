@@ -90,6 +90,7 @@ ALIKE = 0.6            # share of a template's word pairs that confirms a predic
 WINDOW = 40            # words classified together
 STEP = 16              # words from one window to the next
 LONGEST = 400          # words of a paragraph that the class unknown is learned from; all words are classified
+FIT_PARTS = 4          # partitions of the examples; from five on, every step of the fit would shuffle all sums of gradients
 
 
 def words(paragraph: Column) -> Column:
@@ -207,7 +208,7 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
     # every family weighs the same, whatever its number of templates, and all of them together as much as the rest
     of_label = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     weight = F.create_map(*[F.lit(x) for k, n in of_label.items() for x in (k, 100.0 * (len(FAMILIES) - 1 if k == 0 else 1) / n)])
-    train = rows.filter(learn | (F.col("label") > 0)).select("label", "features", weight[F.col("label")].alias("weight"))
+    train = rows.filter(learn | (F.col("label") > 0)).select("label", "features", weight[F.col("label")].alias("weight")).coalesce(FIT_PARTS)
     model = LogisticRegression(family="multinomial", maxIter=40, regParam=2e-4, weightCol="weight").fit(train)
     sure = vector_to_array("probability")[F.col("prediction").cast("int")]
     steps = model.transform(rows.filter(~learn)).groupBy("prediction", F.floor(sure * 50).cast("int").alias("step"))

@@ -99,3 +99,23 @@ def test_other_forms_of_notices(spark):
 def test_main_path_has_no_python(spark):
     plan = op8_license(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_fit_shuffles_no_gradients(spark, monkeypatch):
+    """However many partitions the examples have, the classifier's steps add up without a shuffle."""
+    seen = []
+    whole = licences.LogisticRegression.fit
+
+    def fit(self, rows):
+        seen.append(rows.rdd.getNumPartitions())
+        return whole(self, rows)
+
+    monkeypatch.setattr(licences.LogisticRegression, "fit", fit)
+    lines = licences.lines_of(table(spark, "/root/testdata/sf0.001", "documents").select("text").repartition(64))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        licences.fit(lines, 200)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert seen and max(seen) <= licences.FIT_PARTS
