@@ -232,3 +232,18 @@ def test_small_tables_are_dealt_out_before_they_are_scored(spark):
     many = spark.range(100).repartition(cores).persist()
     assert dealt_out(many) is many
     spread.unpersist(), many.unpersist()
+
+
+def test_cores_are_dealt_about_as_many_rows(spark):
+    """Blocks of an uneven table go to all cores alike, and those of a partition are few."""
+    n = 50_000
+    rows = spark.range(0, n, 1, 3).select((F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 5).alias("y"))
+    blocks = make_blocks(rows, ["a"], F.col("y"))
+    held = blocks.rdd.mapPartitions(lambda part: [[len(b["y"]) for b in part]]).collect()
+    whole = sorted((b["x"][0].tobytes(), b["y"].tobytes()) for b in blocks.rdd.collect())
+    blocks.release()
+    dealt = [sum(p) for p in held]
+    assert sum(dealt) == n and max(map(len, held)) == 1
+    assert len(dealt) == spark.sparkContext.defaultParallelism and max(dealt) <= 1.35 * n / len(dealt)
+    y = np.sort(np.concatenate([np.frombuffer(b, float) for _, b in whole]))
+    np.testing.assert_array_equal(y, np.sort(np.arange(n) % 5))
