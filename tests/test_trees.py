@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanframe.operators.blocks import binned, feature_cuts, make_blocks
-from loanframe.operators.boosting import BUNDLE, Fit, bundles, fit_boosted, node_histograms, walked
+from loanframe.operators.boosting import BUNDLE, Fit, bundled, bundles, fit_boosted, node_histograms, rows_histogram, walked
 from loanframe.operators.forest import Forest, fit_forest, forest_gains, gini_gain, grow
 from loanframe.operators.treemodel import TreeModel
 
@@ -247,3 +247,27 @@ def test_cores_are_dealt_about_as_many_rows(spark):
     assert len(dealt) == spark.sparkContext.defaultParallelism and max(dealt) <= 1.35 * n / len(dealt)
     y = np.sort(np.concatenate([np.frombuffer(b, float) for _, b in whole]))
     np.testing.assert_array_equal(y, np.sort(np.arange(n) % 5))
+
+
+def test_a_round_over_a_bounded_table_takes_one_job(spark):
+    """Rounds over 250 000 rows once took a job per level; the rows of a node of that size are finished in one task."""
+    df = spark.range(250_000, numPartitions=4).select(*[((F.col("id") * m) % 97).cast("double").alias(c) for c, m in zip(COLUMNS, (7, 31, 53))])
+    blocks = make_blocks(df, COLUMNS, F.col("a") + F.col("b") * 2)
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    fit_boosted(blocks, COLUMNS, [Fit("squared", rounds=3)])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    blocks.release()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")) <= 5
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_histograms_of_listed_rows(plain):
+    rng = np.random.default_rng(4)
+    bins = np.array([255, 2, 6, 2, 14])
+    x = np.stack([rng.integers(0, b, 3000) for b in bins]).astype(np.uint8)
+    g, h = rng.normal(size=3000), np.ones(3000) if plain else rng.random(3000)
+    some = np.sort(rng.choice(3000, 1100, replace=False))
+    for rows in (None, some):
+        used = np.ones(3000, bool) if rows is None else np.isin(np.arange(3000), rows)
+        wanted = node_histograms(x, g, h, np.zeros(3000, np.int64), used, [0], 1, bins)[:, 0]
+        assert np.allclose(rows_histogram(bundled(x, bins), g, h, rows, bins), wanted, rtol=0, atol=1e-9)
