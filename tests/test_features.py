@@ -109,3 +109,17 @@ def test_a_boundary_month_is_read_once(spark):
     counts = [{"issue_month": m, "n": 100} for (m,) in rows.selectExpr("to_date(issue_d, 'MMM-yyyy') m").distinct().orderBy("m").collect()]
     cuts = cuts_at(rows.withColumn("id", seen("id")), [30, 130], counts)
     assert [c.key for c in cuts] == [90, 91] and read.value <= 300
+
+
+def test_rows_of_a_small_file_reach_all_cores(spark):
+    """The labelled rows and the preprocessed table once stayed in the one or two tasks that read the file."""
+    from loanframe.plans.catalog import _split
+    from loanframe.plans.training import preprocessed
+
+    split = _split(spark, "/root/testdata/sf0.001")
+    assert split.rdd.getNumPartitions() >= 8
+    sizes = split.rdd.glom().map(len).collect()
+    assert sum(size > 0 for size in sizes) >= 8
+    model, table = preprocessed(split, "preloan_risk_label")
+    assert table.rdd.getNumPartitions() >= 8 and table.count() == split.count() and set(model.outputs) <= set(table.columns)
+    table.unpersist()
