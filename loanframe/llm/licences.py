@@ -90,7 +90,7 @@ ALIKE = 0.6            # share of a template's word pairs that confirms a predic
 WINDOW = 40            # words classified together
 STEP = 16              # words from one window to the next
 LONGEST = 400          # words of a paragraph that the class unknown is learned from; all words are classified
-FIT_PARTS = 4          # partitions of the examples; from five on, every step of the fit would shuffle all sums of gradients
+FIT_PARTS = 1          # partitions of the examples, whose number is bounded: every step of the fit sends the driver all gradients of each
 
 
 def words(paragraph: Column) -> Column:
@@ -227,15 +227,14 @@ def fit(lines: DataFrame, at_most: int = AT_MOST, precision: float = PRECISION)
     return model, limits
 
 
-def _likeness(of: Column) -> Column:
-    """Share of each template's word pairs that stand among the given words, in the order of TEMPLATES."""
-    return _shares(_pairs(of))
+def _wanted() -> Column:
+    """The word pairs of each template, in the order of TEMPLATES: one constant, so that plans do not grow with the templates."""
+    return F.array(*[F.array(*[F.lit(p) for p in dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:]))]) for w in (_plain_words(t) for _, t in TEMPLATES)])
 
 
 def _shares(own: Column) -> Column:
-    """The same from pairs."""
-    wanted = [[f"{a} {b}" for a, b in zip(w, w[1:])] for w in (_plain_words(t) for _, t in TEMPLATES)]
-    return F.array(*[F.size(F.array_intersect(own, F.array(*[F.lit(p) for p in pairs]))) / F.lit(float(len(set(pairs)))) for pairs in wanted])
+    """Share of each template's word pairs that stand among the given pairs, in the order of TEMPLATES."""
+    return F.transform(_wanted(), lambda pairs: F.size(F.array_intersect(own, pairs)) / F.size(pairs))
 
 
 def _plain_words(text: str) -> list[str]:
@@ -244,11 +243,9 @@ def _plain_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+(?:[-.][^\W_]+)*", text.lower())
 
 
-def _stand(of: Column, k: int) -> Column:
-    """The first and the last word of ``of`` that the pairs of template ``k`` need, each pair where it stands last."""
-    w = _plain_words(TEMPLATES[k][1])
-    own = F.reverse(_pairs(of))
-    places = F.transform(F.array_intersect(own, F.array(*[F.lit(f"{a} {b}") for a, b in zip(w, w[1:])])), lambda p: (F.size(own) - F.array_position(own, p)).cast("int"))
+def _stand(own: Column, k: Column) -> Column:
+    """The first and the last word that the pairs of template ``k`` need, each pair where it stands last; ``own`` are all pairs from the last to the first."""
+    places = F.transform(F.array_intersect(own, F.get(_wanted(), k)), lambda p: (F.size(own) - F.array_position(own, p)).cast("int"))
     return F.struct(F.array_min(places).alias("first"), (F.array_max(places) + 1).alias("last"))
 
 
@@ -269,13 +266,10 @@ def hits(docs: DataFrame, at_most: int = AT_MOST) -> DataFrame:
     scored = stored(scored.select("rid", "doc_id", "alone", "words", "at", "k", "chance", *alike)).withColumn("likeness", F.array_max(own(F.col("here"))))
     scored = scored.withColumns({"which": F.array_position(own(F.col("here")), F.col("likeness")) - 1, "most": F.array_max(own(F.col("around")))})
     other = F.exists(F.arrays_zip("here", "around", named.alias("f")), lambda t: (t["f"] != F.col("k")) & (t["here"] >= F.col("likeness")) & (t["around"] > F.col("most")))
-    scored = stored(scored.withColumn("fine", F.coalesce((F.col("likeness") >= ALIKE) & ~other, F.lit(False))))
+    scored = scored.withColumn("fine", F.coalesce((F.col("likeness") >= ALIKE) & ~other, F.lit(False))).withColumn("backwards", F.reverse(_pairs(F.col("words"))))
     fine = F.col("fine")
-    where = F.lit(None).cast("struct<first:int,last:int>")
-    for k in range(len(TEMPLATES)):
-        where = F.when(fine & (F.col("which") == k), _stand(F.col("words"), k)).otherwise(where)
     family = F.array(*[F.lit(f) for f in FAMILIES])[F.col("k")]
-    scored = stored(scored.withColumn("where", where))
+    scored = stored(scored.withColumn("where", F.when(fine, _stand(F.col("backwards"), F.col("which").cast("int")))).drop("backwards"))
     found = scored.select("rid", "doc_id", *[F.when(fine, c).alias(n) for n, c in (
         ("alone", F.col("alone")), ("line", F.col("at")[F.col("where.first")]), ("last", F.col("at")[F.col("where.last")]), ("family", family),
         ("chance", F.col("chance")), ("likeness", F.col("likeness")))])

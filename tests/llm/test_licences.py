@@ -1,7 +1,10 @@
 """Licence notices are found and named; other text is left alone."""
 
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from loanframe.llm import licences
 from loanframe.llm.common import table
 from loanframe.llm.queries import op8_license
@@ -119,3 +122,42 @@ def test_fit_shuffles_no_gradients(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert seen and max(seen) <= licences.FIT_PARTS
+
+
+def test_driver_holds_no_plan_per_template_and_one_gradient(spark, monkeypatch):
+    """The driver plans the comparison once, not for every template, and a step of the fit sends it the gradients of one partition."""
+    plans, parts = [], []
+    whole, fit = licences.stored, licences.LogisticRegression.fit
+
+    def stored(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return whole(rows)
+
+    def fitted(self, rows):
+        parts.append(rows.rdd.getNumPartitions())
+        return fit(self, rows)
+
+    monkeypatch.setattr(licences, "stored", stored)
+    monkeypatch.setattr(licences.LogisticRegression, "fit", fitted)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        op8_license(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    compared = [p.count("array_intersect(") for p in plans]
+    assert any(compared) and max(compared) <= 2 and parts == [1]
+
+
+def test_shares_and_places_as_in_plain_python(spark):
+    draw = random.Random(8)
+    templates = [licences._plain_words(t) for _, t in licences.TEMPLATES]
+    rows = [(k, [w for w in draw.choices(["of", "the"], k=draw.randrange(4)) + t * draw.randrange(1, 3) if draw.random() < 0.8]) for k, t in enumerate(templates)]
+    rows += [(0, []), (1, ["license"]), (2, ["the", "the", "the"])]
+    pairs = licences._pairs(F.col("words"))
+    given = spark.createDataFrame(rows, "k int, words array<string>").withColumns({"own": pairs, "backwards": F.reverse(pairs)})
+    for r in given.select("k", "words", licences._shares(F.col("own")).alias("shares"), licences._stand(F.col("backwards"), F.col("k")).alias("at")).collect():
+        own = list(zip(r.words, r.words[1:]))
+        wanted = [set(zip(t, t[1:])) for t in templates]
+        assert r.shares == [len(w & set(own)) / len(w) for w in wanted]
+        last = [len(own) - 1 - own[::-1].index(p) for p in wanted[r.k] & set(own)]
+        assert (r["at"].first, r["at"].last) == ((min(last), max(last) + 1) if last else (None, None))
