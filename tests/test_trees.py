@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from loanframe.operators.blocks import binned, feature_cuts, make_blocks
 from loanframe.operators.boosting import BUNDLE, Fit, bundled, bundles, fit_boosted, node_histograms, rows_histogram, walked
+from loanframe.operators import forest
+from loanframe.operators.spread_forest import SpreadForest
 from loanframe.operators.forest import Forest, fit_forest, forest_gains, gini_gain, grow
 from loanframe.operators.treemodel import TreeModel
 
@@ -177,6 +179,24 @@ def test_unbounded_forest_is_the_same_wherever_nodes_are_finished(table):
     np.testing.assert_array_equal(pure, same)          # grown until rows are equal or of one class
 
 
+def test_a_spread_forest_says_the_same_without_its_nodes_on_the_driver(spark, table, tmp_path, monkeypatch):
+    _, _, _, df, blocks = table
+    monkeypatch.setattr(forest, "_assembled", None)
+    for rows in (10**6, 60):                        # whole trees in tasks, and subtrees below nodes split by passes
+        fit = Forest(3, 7, task_rows=rows)
+        spread = fit_forest(blocks, COLUMNS, fit, gathered=0)
+        assert isinstance(spread, SpreadForest) and (len(spread.uppers[0][0]) > 1) == (rows == 60)
+        monkeypatch.undo()
+        whole = fit_forest(blocks, COLUMNS, fit)
+        np.testing.assert_allclose(spread.importance(), whole.importance(), rtol=1e-5)
+        spread.save(str(tmp_path / f"m{rows}"))
+        for model in (spread, SpreadForest.load(str(tmp_path / f"m{rows}"))):
+            got = model.with_probabilities(df.withColumn("want", whole.probability_column(df))).select("want", "__p", "a").toPandas()
+            assert len(got) == 900
+            np.testing.assert_allclose(np.stack(got["__p"]), np.stack(got["want"]), rtol=1e-9, atol=1e-12)
+    assert forest.GATHERED < 300 * 623_504 * 2      # a forest of 300 trees on so many rows stays spread
+
+
 def test_grow_on_awkward_rows():
     fit = Forest(2, 1, features=1, bootstrap=False)
     one = grow(np.zeros((2, 4), np.uint8), np.array([0, 1, 0, 1]), np.ones(4), fit, 0, 1, 0)
