@@ -215,6 +215,22 @@ def test_grow_does_not_depend_on_the_order_of_rows():
     assert all(np.array_equal(one[name], other[name]) for name in one)
 
 
+def test_rows_of_a_child_lie_together():
+    rng = np.random.default_rng(7)
+    many, side = np.array([5, 0, 300, 1, 40]), rng.random(346) < 0.4
+    order, counts = forest.side_by_side(side, many)
+    child = 2 * np.repeat(np.arange(5), many) + side
+    np.testing.assert_array_equal(order, np.argsort(child, kind="stable"))
+    np.testing.assert_array_equal(counts, np.bincount(child, minlength=10))
+    bins, y, w = rng.integers(0, 60, 346), rng.integers(0, 3, 346), rng.integers(1, 9, 346) / 4
+    of, at, sums, seen = forest.filled_bins(many, bins, y, w, 3, np.array([60, 60, 60, 60, 20]) + 40)      # sorted, empty, counted, sorted, sorted
+    place = np.repeat(np.arange(5), many) * 100 + bins
+    np.testing.assert_array_equal(np.sort(of * 100 + at), np.unique(place))
+    for o, b, s, n in zip(of, at, sums, seen):
+        hit = place == o * 100 + b
+        assert n == hit.sum() and s.tolist() == np.bincount(y[hit], w[hit], 3).tolist()
+
+
 def test_bundled_histograms_equal_those_of_single_features():
     rng = np.random.default_rng(6)
     bins = np.array([2, 255, 2, 6, 2, 256, 1, 14, 2, 2, 2, 2])
